@@ -8,6 +8,8 @@ from inverting the integral.  Sorting all copies by position (a range sort) give
 A source's documents stand in a fixed order (MD5 of the identifier).  Its stream repeats that
 order; a copy is taken if its middle word lies before the target, which keeps the words taken
 within half a document of the target and never takes a document more often than MAX_REPEATS times.
+What is then missing or too much in a source is made up by one more or one copy less of the document
+whose size comes nearest to it, if that helps.
 
 Cumulative sums are built in two levels: sums of hash buckets (at most MAX_BUCKETS for a source) and
 sums inside a bucket, so that no task sees a whole source.
@@ -89,13 +91,28 @@ def _placed(docs: DataFrame, row: list, id_col: str, text_col: str, source_col:
     starts = sums.withColumn("bucket_start", F.coalesce(F.sum("bucket_size").over(before), F.lit(0)))
     sources = bounded(cut(sources)).withColumnRenamed("source", "of_source")
     levels = cut(starts.join(sources, F.col("source").eqNullSafe(F.col("of_source"))).select("of_source", F.col("bucket").alias("of_bucket"), "bucket_start", "source_size", "target", "turn"))
+    levels = bounded(levels)
     ordered = Window.partitionBy("source", "bucket").orderBy("digest", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    inside = keyed(docs.select(*row, *columns) if row else slim).withColumn("inside", F.coalesce(F.sum("size").over(ordered), F.lit(0)))
-    both = inside.join(bounded(levels), F.col("source").eqNullSafe(F.col("of_source")) & (F.col("bucket") == F.col("of_bucket"))).withColumn("start", F.col("bucket_start") + F.col("inside"))
-    middle = F.col("start") + F.col("size") / F.lit(2)
-    passes = F.filter(F.sequence(F.lit(0), F.lit(MAX_REPEATS - 1)), lambda k: (F.col("size") > 0) & (k * F.col("source_size") + middle < F.col("target")))
-    share = lambda k: (k * F.col("source_size") + F.col("start")) / F.col("target")
-    return both.withColumn("passes", passes).withColumn("positions", F.transform("passes", lambda k: _time(share(k), F.col("turn"), schedules)))
+
+    def counted(df: DataFrame) -> DataFrame:
+        inside = keyed(df).withColumn("inside", F.coalesce(F.sum("size").over(ordered), F.lit(0)))
+        both = inside.join(levels, F.col("source").eqNullSafe(F.col("of_source")) & (F.col("bucket") == F.col("of_bucket"))).withColumn("start", F.col("bucket_start") + F.col("inside"))
+        before = lambda k: (F.lit(k) * F.col("source_size") + F.col("start") + F.col("size") / F.lit(2) < F.col("target")).cast("int")
+        return both.withColumn("copies", F.when(F.col("size") > 0, sum((before(k) for k in range(1, MAX_REPEATS)), before(0))).otherwise(F.lit(0)))
+
+    first = cut(counted(slim).drop("of_source", "of_bucket"))
+    over = first.groupBy("source").agg((F.sum(F.col("copies") * F.col("size")) - F.first("target")).alias("over"))
+    spare = first.join(bounded(cut(over.withColumnRenamed("source", "of_source"))), F.col("source").eqNullSafe(F.col("of_source")))
+    may = F.when(F.col("over") > 0, F.col("copies") > 0).otherwise(F.col("copies") < MAX_REPEATS) & (F.col("size") > 0)
+    rest = F.abs(F.abs("over") - F.col("size"))
+    better = spare.where(may & (rest < F.abs("over"))).groupBy("source").agg(F.min(F.struct(rest.alias("rest"), "digest", "doc_id", "size")).alias("one"), F.first(F.signum("over")).alias("sign"))
+    change = better.select(F.col("source").alias("in_source"), F.col("one.doc_id").alias("in_doc"), F.col("one.size").alias("in_size"), (-F.col("sign")).cast("int").alias("change"))
+    same = F.col("source").eqNullSafe(F.col("in_source")) & F.col("doc_id").eqNullSafe(F.col("in_doc")) & (F.col("size") == F.col("in_size"))
+    base = counted(docs.select(*row, *columns)) if row else first
+    out = base.join(bounded(cut(change)), same, "left").withColumn("copies", F.col("copies") + F.coalesce("change", F.lit(0)))
+    share = lambda k: (k * F.col("source_size") + F.col("start")) / F.greatest(F.col("target"), k * F.col("source_size") + F.col("start"))
+    nth = F.when(F.col("copies") > 0, F.sequence(F.lit(0), F.greatest(F.col("copies") - 1, F.lit(0)))).otherwise(F.expr("cast(array() as array<int>)"))
+    return out.withColumn("positions", F.transform(nth, lambda k: _time(share(k), F.col("turn"), schedules)))
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = WEIGHTS, schedules: tuple[tuple[float, ...], ...] = SCHEDULES) -> DataFrame:
@@ -104,7 +121,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     positions: the training time of each copy taken, ascending; empty for documents the mix leaves out.
     """
     placed = _placed(docs, [], id_col, text_col, source_col, weights, schedules)
-    out = placed.select("doc_id", "size", "source_size", "target", (F.size("passes") * F.col("size")).cast("long").alias("taken"), "positions")
+    out = placed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"), "positions")
     return out.orderBy(F.get("positions", F.lit(0)).asc_nulls_last(), "doc_id")
 
 

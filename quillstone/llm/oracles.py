@@ -25,10 +25,18 @@ t as (select source, source_size, least(cap, weight * (select max(level) from l
 p as (
     select d.*, t.source_size, t.target, coalesce(sum(size) over (partition by d.source order by digest, doc_id, size rows between unbounded preceding and 1 preceding), 0) + size / 2 as middle
     from d join t on d.source is not distinct from t.source
+),
+c as (
+    select *, case when size = 0 then 0 else (middle < target)::int + (source_size + middle < target)::int + (2 * source_size + middle < target)::int end as copies
+    from p
+),
+o as (select source, sum(copies * size) - any_value(target) as over from c group by source)
+select doc_id, size, source_size, target, ((copies + case when doc_id is not distinct from one.doc_id and size = one.size then sign else 0 end) * size)::bigint as taken
+from (
+    select c.*, o.over, min(case when size > 0 and (case when over > 0 then copies > 0 else copies < 3 end) and abs(abs(over) - size) < abs(over)
+        then {'rest': abs(abs(over) - size), 'digest': digest, 'doc_id': doc_id, 'size': size} end) over (partition by c.source) as one, -sign(over)::int as sign
+    from c join o on c.source is not distinct from o.source
 )
-select doc_id, size, source_size, target,
-    (size * (case when size = 0 then 0 else (middle < target)::int + (source_size + middle < target)::int + (2 * source_size + middle < target)::int end))::bigint as taken
-from p
 """
 
 

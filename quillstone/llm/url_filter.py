@@ -3,8 +3,9 @@
 Labelled page outcomes (bad or not) are counted by host.  A host's rate is shrunk through a chain of
 beta-binomial priors: suffix towards the whole, registered domain towards its suffix, host towards
 its domain.  The strength of each prior is estimated from the spread of the rates at that level
-(Kleinman's moment estimator).  A page is blocked if even the lower bound of its host's posterior
-rate is above the threshold.
+(Kleinman's moment estimator).  A level's variance holds its own and, as far as it relies on its
+prior, the prior's, so that hosts far from any label stay uncertain.  A page is blocked if even the
+lower bound of its host's posterior rate is above the threshold.
 
 Defined results: null URLs and those without "://" have empty host and path, fit no rule and belong
 to the host ""; ports and user names stay part of the host, as the host rule says; hosts without
@@ -87,17 +88,21 @@ def reputation(labelled: DataFrame) -> DataFrame:
     hosts = cut(labelled.groupBy("host").agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")).withColumns({"domain": domain_of(F.col("host")), "suffix": suffix_of(F.col("host"))}))
     total = hosts.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).first()
     mean = ((total["bad"] or 0) + 0.5) / ((total["n"] or 0) + 1)
-    level = hosts.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).withColumn("prior", F.lit(mean))
-    k = _strength(level, "prior")
-    suffixes = cut(level.select("suffix", ((F.col("bad") + F.lit(k) * F.col("prior")) / (F.col("n") + F.lit(k))).alias("suffix_rate")))
-    level = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).join(bounded(suffixes), "suffix")
-    k = _strength(level, "suffix_rate")
-    domains = cut(level.select("domain", ((F.col("bad") + F.lit(k) * F.col("suffix_rate")) / (F.col("n") + F.lit(k))).alias("domain_rate")))
-    level = hosts.join(bounded(domains), "domain")
-    k = _strength(level, "domain_rate")
-    a, b = F.col("bad") + F.lit(k) * F.col("domain_rate"), F.col("n") - F.col("bad") + F.lit(k) * (1 - F.col("domain_rate"))
-    spread = F.sqrt(a * b / ((a + b) * (a + b) * (a + b + 1)))
-    return level.select("host", "n", "bad", (a / (a + b)).alias("rate"), (a / (a + b) - F.lit(BOUND_Z) * spread).alias("lower"))
+    above = None
+    for name, parent in (("suffix", None), ("domain", "suffix"), ("host", "domain")):
+        keys = [name] + ([parent] if parent else [])
+        level = hosts.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+        if parent is None:
+            level = level.withColumns({"prior": F.lit(mean), "doubt": F.lit(mean * (1 - mean) / ((total["n"] or 0) + 2))})
+        else:
+            level = level.join(bounded(above.select(F.col(parent).alias("of"), F.col("rate").alias("prior"), F.col("variance").alias("doubt"))), F.col(parent) == F.col("of")).drop("of")
+        level = cut(level)
+        k = F.lit(_strength(level, "prior"))
+        a, b = F.col("bad") + k * F.col("prior"), F.col("n") - F.col("bad") + k * (1 - F.col("prior"))
+        own = a * b / ((a + b) * (a + b) * (a + b + 1))
+        leans = k / (F.col("n") + k)
+        above = cut(level.select(*keys, "n", "bad", (a / (a + b)).alias("rate"), (own + leans * leans * F.col("doubt")).alias("variance")))
+    return above.select("host", "n", "bad", "rate", (F.col("rate") - F.lit(BOUND_Z) * F.sqrt("variance")).alias("lower"))
 
 
 def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules: dict[str, str] = RULES, labels: DataFrame | None = None, threshold: float = THRESHOLD) -> DataFrame:
