@@ -4,8 +4,8 @@ Every shard has its own preference order over the slots of a prime-sized table (
 skip, both from its name); shards take turns claiming their next free slot until the table is full.
 Placing a row is one lookup of its key's slot, so adding or removing a shard moves few keys.
 
-Defined results: rows with a null key are dealt by their text, so that many of them do not meet in
-one shard; repeated rows go to the same shard; a table with no rows gives none.
+Defined results: a null key counts as an empty one; callers that expect many give them another key,
+as the query does with the text; repeated rows go to the same shard; a table with no rows gives none.
 """
 
 from __future__ import annotations
@@ -48,7 +48,7 @@ def lookup(spark: SparkSession, shards: list[str], slots: int = SLOTS) -> DataFr
 
 def slot(key: Column, slots: int = SLOTS) -> Column:
     """The first 32 bits of the key's MD5, modulo slots."""
-    return (F.conv(F.substring(F.md5(key.cast("binary")), 1, 8), 16, 10).cast("long") % slots).cast("int")
+    return (F.conv(F.substring(F.md5(F.coalesce(key.cast("string"), F.lit("")).cast("binary")), 1, 8), 16, 10).cast("long") % slots).cast("int")
 
 
 def place(df: DataFrame, key: Column, shards: list[str], slots: int = SLOTS, columns: list | None = None) -> DataFrame:
