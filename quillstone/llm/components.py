@@ -2,7 +2,7 @@
 
 Each round every node takes the smallest label among its own and its neighbours', then the label of
 that label.  Labels never leave the cluster; a round's table is cut from its lineage in the shared
-checkpoint folder, and only the count of changed rows comes to the driver.  Minima are pre-aggregated,
+checkpoint folder, and the driver only learns whether any label has changed.  Minima are pre-aggregated,
 and joins on a hub's key are plain equi-joins that adaptive execution may split.
 """
 
@@ -17,15 +17,13 @@ from .common import cut
 def components(edges: DataFrame) -> DataFrame:
     """node, comp (the smallest node reachable) for every node of edges (a, b); null ends are ignored."""
     known = edges.where("a is not null and b is not null and a <> b")
-    both = cut(known.select("a", "b").union(known.select("b", "a")).distinct())
+    both = cut(known.select("a", "b").union(known.select("b", "a")))
     labels = cut(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("comp")).select(F.col("a").alias("node"), "comp"))
     while True:
         near = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("comp").alias("low"))
-        hooked = labels.join(near, F.col("node") == F.col("a"), "left").select("node", "comp", F.least("comp", F.coalesce("low", "comp")).alias("next"))
-        hooked = cut(hooked)
-        top = hooked.select(F.col("node").alias("root"), F.col("next").alias("of_root"))
-        jumped = cut(hooked.join(top, F.col("next") == F.col("root"), "left").select("node", "comp", F.least("next", F.coalesce("of_root", "next")).alias("next")))
-        changed = jumped.where("next <> comp").count()
-        labels = jumped.select("node", F.col("next").alias("comp"))
-        if not changed:
+        hooked = labels.join(near, F.col("node") == F.col("a")).select("node", "comp", F.least("comp", "low").alias("next"))
+        top = labels.select(F.col("node").alias("root"), F.col("comp").alias("of_root"))
+        jumped = cut(hooked.join(top, F.col("next") == F.col("root")).select("node", F.least("next", "of_root").alias("comp"), (F.least("next", "of_root") < F.col("comp")).alias("moved")))
+        labels = jumped.select("node", "comp")
+        if not jumped.where("moved").take(1):
             return labels

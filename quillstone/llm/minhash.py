@@ -6,10 +6,13 @@ for coordinate k, so a shingle's values for all coordinates are one slice of the
 and the signature is the element-wise minimum of such slices.
 
 Documents with equal sets are one class, and only one member of a class goes on.  Bands of the
-signatures give candidate buckets.  Within a bucket, members are first compared with one centre, for
-some rounds with different centres; members already known to be connected aren't compared again.
-Then every pair of a bucket whose members are still in different components is compared, so no link
-between components is lost however large a bucket is.  Links are confirmed on the full sets.
+signatures give candidate buckets.  A bucket's centre is its member with the most company in all its
+buckets, so a large group of near copies has one centre in most of its buckets.  Members are first
+compared with their centres.  Members of one centre that are then still in different components are
+compared with each other whole: those outside the centre's largest component, in blocks of about
+BLOCK sets, against blocks of all of its members.  Two members of any bucket share its centre, so no
+link between components is lost however large a bucket is, and what is dealt out are blocks, not
+pairs.  Links are confirmed on the full sets.
 
 With 32 bands of 4 rows a link at similarity 0.8 is in no bucket with a probability of 5e-8.
 
@@ -27,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import bounded, cut, text_or_empty
@@ -36,8 +39,8 @@ from .components import components
 BANDS, ROWS = 32, 4
 #: The permutations' length D, and the seed of both.
 PLACES, SEED = 1 << 20, 20_240_607
-#: Rounds with one centre in each bucket before the remaining pairs are compared.
-CENTRE_ROUNDS = 4
+#: Sets in a block, about.
+BLOCK = 128
 #: Word hashes kept by a Python worker.
 KEPT_WORDS = 400_000
 
@@ -142,41 +145,70 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(near).where(100 * common >= percent * (F.size("fa") + F.size("fb") - common)).select("a", "b")
 
 
+def _between(stars: DataFrame, comps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between members of one centre that are in different components.
+
+    For each member and block one link into each component there is enough.
+    """
+    members = stars.select(F.col("b").alias("centre"), F.col("a").alias("class")).union(stars.select("b", "b").distinct())
+    held = members.join(comps.withColumnRenamed("node", "of_class"), F.col("class") == F.col("of_class"), "left").select("centre", "class", F.coalesce("comp", "class").alias("comp"))
+    held = cut(held)
+    sizes = held.groupBy("centre", "comp").agg(F.count("*").alias("n")).groupBy("centre").agg(F.sum("n").alias("n"), F.count("*").alias("kinds"), F.max(F.struct("n", "comp")).alias("top"))
+    sizes = sizes.where("kinds > 1").select(F.col("centre").alias("of_centre"), "n", F.col("top.n").alias("most"), F.col("top.comp").alias("largest"))
+    held = held.join(sizes, F.col("centre") == F.col("of_centre"))
+    full = held.join(sets.withColumnRenamed("class", "of_class"), F.col("class") == F.col("of_class")).select("centre", "class", "comp", "found", "n", "most", "largest")
+    full = cut(full)
+    blocks = lambda df, n: df.groupBy("centre", F.pmod(F.xxhash64("class"), F.ceil(n / F.lit(BLOCK))).alias("block")).agg(F.collect_list(F.struct("class", "comp", "found")).alias("rows"))  # noqa: E731  about BLOCK rows each
+    out, whole = blocks(full.where("comp <> largest"), F.col("n") - F.col("most")), blocks(full, F.col("n"))
+    both = out.select("centre", F.col("rows").alias("left")).join(whole.select(F.col("centre").alias("of_centre"), F.col("rows").alias("right")), F.col("centre") == F.col("of_centre")).select("left", "right")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = [], []
+            for k in range(batch.num_rows):
+                left, right = (batch.column(c).slice(k, 1).flatten() for c in ("left", "right"))
+                names, kinds = right.field("class").to_pylist(), right.field("comp").to_pylist()
+                lists = right.field("found")
+                values, owner = lists.flatten().to_numpy(), np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+                size = np.bincount(owner, minlength=len(names))
+                order = np.argsort(values, kind="stable")
+                values, owner = values[order], owner[order]
+                found = left.field("found")
+                at, flat = found.offsets.to_numpy() - found.offsets[0].as_py(), found.flatten().to_numpy()
+                for i, (name, kind) in enumerate(zip(left.field("class").to_pylist(), left.field("comp").to_pylist())):
+                    x = flat[at[i] : at[i + 1]]
+                    lo, hi = np.searchsorted(values, x, "left"), np.searchsorted(values, x, "right")
+                    n = hi - lo
+                    places = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
+                    common = np.bincount(owner[places], minlength=len(names))
+                    met = {kind}
+                    for j in np.flatnonzero(100 * common >= percent * (len(x) + size - common)):
+                        if kinds[j] not in met:
+                            met.add(kinds[j])
+                            a.append(name), b.append(names[j])
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+
+    return both.mapInArrow(compare, "a binary, b binary")
+
+
 def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of docs; kept: its identifier is the component's."""
     rows = cut(_measure(docs, id_col, text_col, width))
     members = rows.where("class is not null")
     classes = members.groupBy("class").agg(F.min("doc_id").alias("least"), F.first("bands").alias("bands"))
     buckets = classes.select("class", "least", F.posexplode("bands").alias("band", "key"))
-    shared = cut(buckets.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1").select("band", "key"))
-    in_buckets = cut(buckets.join(shared.withColumnsRenamed({"band": "of_band", "key": "of_key"}), (F.col("band") == F.col("of_band")) & (F.col("key") == F.col("of_key"))).select("class", "least", "key"))
-    sets = cut(_sets(docs, cut(in_buckets.select(F.col("least").alias("doc_id")).distinct()), id_col, text_col, width).dropDuplicates(["class"]))
-    at = cut(in_buckets.select("class", "key"))
-    links, comps, tried = None, None, None
-    for turn in range(CENTRE_ROUNDS + 1):
-        state = at if comps is None else at.join(comps.withColumnRenamed("node", "class"), "class", "left").select("class", "key", F.coalesce("comp", "class").alias("comp"))
-        if comps is None:
-            state = state.withColumn("comp", F.col("class"))
-        if turn:  # only buckets that still hold several components
-            open_ = state.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select(F.col("key").alias("of_key"))
-            state = cut(state.join(open_, F.col("key") == F.col("of_key"), "left_semi"))
-            if not state.take(1):
-                break
-        if turn < CENTRE_ROUNDS:
-            order = F.xxhash64("class", F.lit(turn))
-            centre = state.groupBy("key").agg(F.min_by(F.struct("class", "comp"), order).alias("c")).select(F.col("key").alias("of_key"), F.col("c.class").alias("b"), F.col("c.comp").alias("of_comp"))
-            pairs = state.join(centre, (F.col("key") == F.col("of_key")) & (F.col("comp") != F.col("of_comp"))).select(F.col("class").alias("a"), "b")
-        else:
-            other = state.select(F.col("class").alias("b"), F.col("key").alias("of_key"), F.col("comp").alias("of_comp"))
-            pairs = state.select(F.col("class").alias("a"), "key", "comp").join(other, (F.col("key") == F.col("of_key")) & (F.col("comp") < F.col("of_comp"))).select("a", "b")
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = cut(pairs)
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        found = cut(_confirm(pairs, sets, percent))
-        links = found if links is None else links.unionByName(found)
-        comps = components(links)
+    shared = buckets.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1").select(F.col("band").alias("of_band"), F.col("key").alias("of_key"), "n")
+    same_bucket = (F.col("band") == F.col("of_band")) & (F.col("key") == F.col("of_key"))
+    state = buckets.join(shared, same_bucket).select("class", "least", "band", "key", F.sum("n").over(Window.partitionBy("class")).alias("company"))
+    state = cut(state)
+    sets = cut(_sets(docs, cut(state.select(F.col("least").alias("doc_id")).distinct()), id_col, text_col, width).dropDuplicates(["class"]))
+    centre = state.groupBy("band", "key").agg(F.max(F.struct("company", "class"))["class"].alias("b")).select(F.col("band").alias("of_band"), F.col("key").alias("of_key"), "b")
+    stars = cut(state.join(centre, same_bucket).where(F.col("class") != F.col("b")).select(F.col("class").alias("a"), "b").distinct())
+    links = cut(_confirm(stars, sets, percent))
+    comps = components(links)
+    more = cut(_between(stars, comps, sets, percent))
+    if more.take(1):
+        comps = components(links.unionByName(more))
     of_class = classes.select("class", "least")
     comps = comps.select(F.col("node").alias("class"), "comp")
     roots = of_class.join(comps, "class").groupBy("comp").agg(F.min("least").alias("root"))
