@@ -1,8 +1,10 @@
 """Exact dedup by content sort.
 
-Sampled splitters range-partition the normalised bytes (identifier second, so that a group holding
-a third of all rows spreads over many partitions), Spark's external sort places equal texts next to
-each other, and neighbouring texts are compared whole.  Only the first and last run of a partition
+Sampled splitters range-partition the normalised bytes: a splitter holds a text's first PREFIX
+characters, a digest of the whole that orders texts beyond them, and the identifier, so that the
+splitters' size doesn't follow the texts' and a group holding a third of all rows spreads over many
+partitions.  Spark's external sort places equal texts next to each other, and neighbouring texts are
+compared whole.  Only the first and last run of a partition
 can go on in another one; those few runs are compared in a second, small step.
 
 Defined results: null text counts as empty, so null and empty texts are one group; null identifiers
@@ -25,6 +27,7 @@ from pyspark.sql import types as T
 
 from .common import ascii_lower, bounded, cut, shuffle_partitions, text_or_empty
 
+PREFIX = 64
 EDGE = "struct<n_runs:bigint,head:binary,tail:binary,n_head:bigint,n_tail:bigint,id_head:bigint,id_tail:bigint>"
 
 
@@ -68,7 +71,10 @@ def _sorted(docs: DataFrame, columns: list, id_col: str, text_col: str, keep: st
     order = (lambda c: F.desc_nulls_last(c)) if keep == "max" else (lambda c: F.asc_nulls_last(c))
     norm = ascii_lower(text_or_empty(text_col))
     dealt = docs.select(*columns, F.col(id_col).cast("long").alias("__id"), norm.alias("__norm"))
-    return dealt.repartitionByRange(partitions, F.col("__norm"), order("__id")).sortWithinPartitions(F.col("__norm"), order("__id"))
+    head, digest = F.substring("__norm", 1, PREFIX), F.md5(F.col("__norm").cast("binary"))
+    dealt = dealt.select("*", head.alias("__head"), digest.alias("__digest"))
+    dealt = dealt.repartitionByRange(partitions, F.col("__head"), F.col("__digest"), order("__id"))
+    return dealt.sortWithinPartitions(F.col("__head"), F.col("__digest"), F.col("__norm"), order("__id"))
 
 
 def _outer_runs(edges: DataFrame) -> DataFrame:
