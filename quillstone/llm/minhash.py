@@ -14,6 +14,11 @@ BLOCK sets, against blocks of all of its members.  Two members of any bucket sha
 link between components is lost however large a bucket is, and what is dealt out are blocks, not
 pairs.  Links are confirmed on the full sets.
 
+Full sets travel only where a link can be.  A class carries a parity sketch: bit i tells whether an
+odd number of its shingles fall to i of SKETCH_BITS.  Bits in which two sketches differ are never
+more than the shingles in which the sets differ, so a pair with too many of them is no link for
+certain, and neither pairs nor members that have only such partners fetch their sets.
+
 With 32 bands of 4 rows a link at similarity 0.8 is in no bucket with a probability of 5e-8.
 
 Defined results: null text counts as empty; the empty set links with nothing, not even with another
@@ -41,6 +46,8 @@ BANDS, ROWS = 32, 4
 PLACES, SEED = 1 << 20, 20_240_607
 #: Sets in a block, about.
 BLOCK = 128
+#: Bits of a parity sketch.
+SKETCH_BITS = 1024
 #: Word hashes kept by a Python worker.
 KEPT_WORDS = 400_000
 
@@ -98,27 +105,35 @@ def _bands(found: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
+def _sketch(found: np.ndarray) -> np.ndarray:
+    """The parity sketch as SKETCH_BITS / 64 integers; its bits are not those that choose a place in the signature."""
+    odd = np.bincount((found >> np.uint64(40) & np.uint64(SKETCH_BITS - 1)).astype(np.int64), minlength=SKETCH_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _digest(found: np.ndarray) -> bytes:
     return hashlib.blake2b(found.tobytes(), digest_size=16).digest()
 
 
 def _measure(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """doc_id, n_shingles, class (digest of the set, null if empty), bands for every row."""
+    """doc_id, n_shingles, class (digest of the set, null if empty), bands, sketch for every row."""
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(0, b.num_rows, 1000):
                 part = b.slice(i, 1000)
-                n, cls, bands = [], [], []
+                n, cls, bands, sketches = [], [], [], []
                 for text in part.column("text").to_pylist():
                     found = shingles(text, width)
                     n.append(len(found))
                     cls.append(_digest(found) if len(found) else None)
                     bands.append(_bands(found) if len(found) else None)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n, pa.int64()), pa.array(cls, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], ["doc_id", "n_shingles", "class", "bands"])
+                    sketches.append(_sketch(found) if len(found) else None)
+                longs = pa.list_(pa.int64())
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n, pa.int64()), pa.array(cls, pa.binary()), pa.array(bands, longs), pa.array(sketches, longs)], ["doc_id", "n_shingles", "class", "bands", "sketch"])
 
-    return slim.mapInArrow(run, "doc_id bigint, n_shingles bigint, class binary, bands array<bigint>")
+    return slim.mapInArrow(run, "doc_id bigint, n_shingles bigint, class binary, bands array<bigint>, sketch array<bigint>")
 
 
 def _sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
@@ -145,22 +160,70 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(near).where(100 * common >= percent * (F.size("fa") + F.size("fb") - common)).select("a", "b")
 
 
-def _between(stars: DataFrame, comps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _possible(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Those of pairs (a, b) that sizes and sketches (class, size, sketch) leave possible."""
+    left, right = (sketches.select(F.col("class").alias(x), F.col("size").alias(f"n{x}"), F.col("sketch").alias(f"s{x}")) for x in "ab")
+    differ = F.aggregate(F.zip_with("sa", "sb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, n: t + n)
+    possible = (100 + percent) * F.greatest(differ, F.abs(F.col("na") - F.col("nb"))) <= (100 - percent) * (F.col("na") + F.col("nb"))
+    return pairs.join(left, "a").join(right, "b").where(possible).select("a", "b")
+
+
+def _apart(held: DataFrame) -> DataFrame:
+    """held (centre, class, comp) with n, most (rows of the centre and of its largest component) and largest, for centres of several components."""
+    sizes = held.groupBy("centre", "comp").agg(F.count("*").alias("n")).groupBy("centre").agg(F.sum("n").alias("n"), F.count("*").alias("kinds"), F.max(F.struct("n", "comp")).alias("top"))
+    sizes = sizes.where("kinds > 1").select(F.col("centre").alias("of_centre"), "n", F.col("top.n").alias("most"), F.col("top.comp").alias("largest"))
+    return held.join(sizes, F.col("centre") == F.col("of_centre")).drop("of_centre")
+
+
+def _faced(full: DataFrame, payload: list[str]) -> DataFrame:
+    """left, right: blocks of about BLOCK rows of a centre, those outside its largest component against all."""
+
+    def blocks(df: DataFrame, n) -> DataFrame:
+        return df.groupBy("centre", F.pmod(F.xxhash64("class"), F.ceil(n / F.lit(BLOCK))).alias("block")).agg(F.collect_list(F.struct("class", "comp", *payload)).alias("rows"))
+
+    out, whole = blocks(full.where("comp <> largest"), F.col("n") - F.col("most")), blocks(full, F.col("n"))
+    right = whole.select(F.col("centre").alias("of_centre"), F.col("rows").alias("right"))
+    return out.select("centre", F.col("rows").alias("left")).join(right, F.col("centre") == F.col("of_centre")).select("centre", "left", "right")
+
+
+def _hopeful(full: DataFrame, percent: int) -> DataFrame:
+    """centre, class of the members that sizes and sketches leave a possible link to another component."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                sides = []
+                for c in ("left", "right"):
+                    rows = batch.column(c).slice(k, 1).flatten()
+                    kinds = rows.field("comp").dictionary_encode()
+                    sides.append((rows.field("class"), rows.field("size").to_numpy(), rows.field("sketch").flatten().to_numpy().reshape(len(rows), -1).view(np.uint64), np.array(kinds.dictionary.to_pylist(), object)[kinds.indices.to_numpy()]))
+                (ca, na, sa, ka), (cb, nb, sb, kb) = sides
+                hit_a, hit_b = np.zeros(len(ca), bool), np.zeros(len(cb), bool)
+                for i in range(len(ca)):
+                    differ = np.maximum(np.bitwise_count(sb ^ sa[i]).sum(axis=1, dtype=np.int64), np.abs(nb - na[i]))
+                    met = ((100 + percent) * differ <= (100 - percent) * (nb + na[i])) & (kb != ka[i])
+                    hit_a[i] = met.any()
+                    hit_b |= met
+                found = pa.concat_arrays([ca.filter(pa.array(hit_a)), cb.filter(pa.array(hit_b))])
+                yield pa.RecordBatch.from_arrays([pa.array([batch.column("centre")[k].as_py()] * len(found), pa.binary()), found], ["centre", "class"])
+
+    return _faced(full, ["size", "sketch"]).mapInArrow(compare, "centre binary, class binary").distinct()
+
+
+def _between(stars: DataFrame, comps: DataFrame, sketches: DataFrame, sets, percent: int) -> DataFrame:
     """Links (a, b) between members of one centre that are in different components.
 
-    For each member and block one link into each component there is enough.
+    sets gives class and found for a table of classes.  For each member and block one link into each
+    component there is enough.
     """
     members = stars.select(F.col("b").alias("centre"), F.col("a").alias("class")).union(stars.select("b", "b").distinct())
     held = members.join(comps.withColumnRenamed("node", "of_class"), F.col("class") == F.col("of_class"), "left").select("centre", "class", F.coalesce("comp", "class").alias("comp"))
     held = cut(held)
-    sizes = held.groupBy("centre", "comp").agg(F.count("*").alias("n")).groupBy("centre").agg(F.sum("n").alias("n"), F.count("*").alias("kinds"), F.max(F.struct("n", "comp")).alias("top"))
-    sizes = sizes.where("kinds > 1").select(F.col("centre").alias("of_centre"), "n", F.col("top.n").alias("most"), F.col("top.comp").alias("largest"))
-    held = held.join(sizes, F.col("centre") == F.col("of_centre"))
-    full = held.join(sets.withColumnRenamed("class", "of_class"), F.col("class") == F.col("of_class")).select("centre", "class", "comp", "found", "n", "most", "largest")
-    full = cut(full)
-    blocks = lambda df, n: df.groupBy("centre", F.pmod(F.xxhash64("class"), F.ceil(n / F.lit(BLOCK))).alias("block")).agg(F.collect_list(F.struct("class", "comp", "found")).alias("rows"))  # noqa: E731  about BLOCK rows each
-    out, whole = blocks(full.where("comp <> largest"), F.col("n") - F.col("most")), blocks(full, F.col("n"))
-    both = out.select("centre", F.col("rows").alias("left")).join(whole.select(F.col("centre").alias("of_centre"), F.col("rows").alias("right")), F.col("centre") == F.col("of_centre")).select("left", "right")
+    named = sketches.withColumnRenamed("class", "of_class")
+    hopeful = _hopeful(_apart(held).join(named, F.col("class") == F.col("of_class")).drop("of_class"), percent)
+    held = cut(held.join(hopeful, ["centre", "class"]))
+    found = sets(held.select("class").distinct()).withColumnRenamed("class", "of_class")
+    full = cut(_apart(held).join(found, F.col("class") == F.col("of_class")).drop("of_class"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -188,25 +251,32 @@ def _between(stars: DataFrame, comps: DataFrame, sets: DataFrame, percent: int)
                             a.append(name), b.append(names[j])
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
 
-    return both.mapInArrow(compare, "a binary, b binary")
+    return _faced(full, ["found"]).mapInArrow(compare, "a binary, b binary")
 
 
 def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of docs; kept: its identifier is the component's."""
     rows = cut(_measure(docs, id_col, text_col, width))
     members = rows.where("class is not null")
-    classes = members.groupBy("class").agg(F.min("doc_id").alias("least"), F.first("bands").alias("bands"))
+    classes = members.groupBy("class").agg(F.min("doc_id").alias("least"), F.first("bands").alias("bands"), F.first("n_shingles").alias("size"), F.first("sketch").alias("sketch"))
     buckets = classes.select("class", "least", F.posexplode("bands").alias("band", "key"))
     shared = buckets.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1").select(F.col("band").alias("of_band"), F.col("key").alias("of_key"), "n")
     same_bucket = (F.col("band") == F.col("of_band")) & (F.col("key") == F.col("of_key"))
     state = buckets.join(shared, same_bucket).select("class", "least", "band", "key", F.sum("n").over(Window.partitionBy("class")).alias("company"))
     state = cut(state)
-    sets = cut(_sets(docs, cut(state.select(F.col("least").alias("doc_id")).distinct()), id_col, text_col, width).dropDuplicates(["class"]))
     centre = state.groupBy("band", "key").agg(F.max(F.struct("company", "class"))["class"].alias("b")).select(F.col("band").alias("of_band"), F.col("key").alias("of_key"), "b")
     stars = cut(state.join(centre, same_bucket).where(F.col("class") != F.col("b")).select(F.col("class").alias("a"), "b").distinct())
-    links = cut(_confirm(stars, sets, percent))
+    least = cut(state.select(F.col("class").alias("of_class"), F.col("least").alias("doc_id")).distinct())
+    sketches = cut(classes.join(least, F.col("class") == F.col("of_class"), "left_semi").select("class", "size", "sketch"))
+
+    def sets(wanted: DataFrame) -> DataFrame:
+        ids = cut(least.join(wanted, F.col("of_class") == F.col("class"), "left_semi").select("doc_id").distinct())
+        return cut(_sets(docs, ids, id_col, text_col, width).dropDuplicates(["class"]))
+
+    pairs = cut(_possible(stars, sketches, percent))
+    links = cut(_confirm(pairs, sets(pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()), percent))
     comps = components(links)
-    more = cut(_between(stars, comps, sets, percent))
+    more = cut(_between(stars, comps, sketches, sets, percent))
     if more.take(1):
         comps = components(links.unionByName(more))
     of_class = classes.select("class", "least")
