@@ -1 +1,2 @@
 """Document-block analytics on Spark."""
+__version__ = "0.1.0"
