@@ -11,14 +11,17 @@ media and elements whose class, id or role says that they are adverts, notices,
 Defined results: null html counts as empty and gives an empty text, as does a page without text;
 null URLs and those without "://" share the host ""; broken markup (unclosed or stray tags, cut-off
 pages) never fails: a tag that ends without its ">" is dropped, unclosed elements end with the page.
+Work and memory are linear in a page's length however deep its elements are nested: a path longer than
+PATH_CHARS is held as the digest of its parent's and its last step.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -40,6 +43,7 @@ ATTRIBUTE = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"
 CLOSES = {"li": {"li"}, "p": {"p"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"tr", "td", "th"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}}
 CLOSES |= {x: {"p"} for x in "address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol pre section table ul".split()}
 STOPS = frozenset("article section div td th body main ul ol table blockquote".split())
+PATH_CHARS = 1000
 
 
 @dataclass
@@ -48,25 +52,40 @@ class Node:
     path: str
     parent: Node | None
     dropped: bool
-    pieces: list[int] = field(default_factory=list)
     chars: int = 0
     linked: int = 0
     order: int = 0
+    depth: int = 0
     wide: bool = False
+    container: bool = False
+    inside: bool = False
 
 
-def _parse(html: str) -> tuple[list[Node], list[tuple[Node, str | None]]]:
-    """Containers, and the page's stream of (innermost node, text or None for a break) outside what is left out."""
+def _path(above: str, step: str) -> str:
+    path = f"{above}>{step}" if above else step
+    return path if len(path) <= PATH_CHARS else f"{hashlib.blake2b(above.encode(), digest_size=16).hexdigest()}>{step[:PATH_CHARS // 2]}"
+
+
+def _parse(page: str) -> tuple[list[Node], list[tuple[Node, str | None]]]:
+    """All elements, the root first and parents before children, and the page's stream of (innermost element, text or None for a break) outside what is left out."""
     root = Node("", "", None, False)
-    nodes, stream, at, end = [], [], root, 0
-    page = html
-    pos = 0
+    nodes, stream, at, pos = [root], [], root, 0
+    open_tags: dict[str, int] = {}
+
+    def leave(to: Node) -> Node:
+        x = at
+        while x is not to:
+            open_tags[x.tag] -= 1
+            x = x.parent
+        return to
 
     def close(tag: str) -> Node:
+        if not open_tags.get(tag):
+            return at
         x = at
-        while x.parent is not None and x.tag != tag:
+        while x.tag != tag:
             x = x.parent
-        return x.parent if x.parent is not None else at
+        return leave(x.parent)
 
     while True:
         m = TAG.search(page, pos)
@@ -85,12 +104,12 @@ def _parse(html: str) -> tuple[list[Node], list[tuple[Node, str | None]]]:
                 stream.append((at, None))
             at = close(tag)
             continue
-        if tag in CLOSES:
+        if any(open_tags.get(t) for t in CLOSES.get(tag, ())):
             x, ends = at, CLOSES[tag]
             while x.parent is not None and x.tag not in ends and (x.tag in INLINE or x.tag not in STOPS):
                 x = x.parent
             if x.tag in ends and x.parent is not None:
-                at = x.parent
+                at = leave(x.parent)
         if tag not in INLINE:
             stream.append((at, None))
         if tag in VOID or attributes.endswith("/"):
@@ -98,10 +117,10 @@ def _parse(html: str) -> tuple[list[Node], list[tuple[Node, str | None]]]:
         names = " ".join(a or b or c for _, a, b, c in ATTRIBUTE.findall(attributes)) if "=" in attributes else ""
         cls = next((re.sub(r"\d+", "N", (a or b or c)).split() for k, a, b, c in ATTRIBUTE.findall(attributes) if k.lower() == "class"), []) if names else []
         step = tag + "".join("." + c for c in sorted(set(cls))[:3])
-        child = Node(tag, f"{at.path}>{step}" if at.path else step, at, at.dropped or tag in LEFT_OUT or bool(names and tag not in ("body", "html") and MARKS.search(names)), order=len(nodes))
+        left_out = at.dropped or tag in LEFT_OUT or bool(names and tag not in ("body", "html") and MARKS.search(names))
+        child = Node(tag, _path(at.path, step), at, left_out, order=len(nodes), depth=at.depth + 1)
         child.wide = tag in ("article", "main") or "role" in attributes and "main" in names.split()
-        if tag in CONTAINERS and not child.dropped:
-            nodes.append(child)
+        child.container = tag in CONTAINERS and not left_out
         if tag in RAW:
             over = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|$)", re.I).search(page, pos)
             pos = over.start() if over else len(page)
@@ -110,29 +129,33 @@ def _parse(html: str) -> tuple[list[Node], list[tuple[Node, str | None]]]:
             m = TAG.search(page, pos)
             pos = m.end() if m else len(page)
             continue
+        nodes.append(child)
+        open_tags[tag] = open_tags.get(tag, 0) + 1
         at = child
     return nodes, stream
 
 
-def _score(stream: list[tuple[Node, str | None]]) -> None:
+def _score(nodes: list[Node], stream: list[tuple[Node, str | None]]) -> None:
+    """Characters in each element, and those of them in links, from its own text and its children's."""
     for node, text in stream:
-        if text is None or not (n := len("".join(text.split()))):
-            continue
-        linked, x = False, node
-        while x is not None:
-            linked = linked or x.tag == "a"
-            x.chars += n
-            x.linked += n * linked
-            x = x.parent
+        if text is not None:
+            node.chars += len("".join(text.split()))
+    for node in reversed(nodes):
+        if node.tag == "a":
+            node.linked = node.chars
+        if node.parent is not None:
+            node.parent.chars += node.chars
+            node.parent.linked += node.linked
 
 
 def _best(nodes: list[Node]) -> Node | None:
     """The deepest container with nine tenths of the most unlinked text; an article or main around it is preferred."""
-    worth = [(n.chars - 2 * n.linked, n) for n in nodes]
+    held = [n for n in nodes if n.container]
+    worth = [(n.chars - 2 * n.linked, n) for n in held]
     most = max((w for w, _ in worth), default=0)
     if most <= 0:
-        return max(nodes, key=lambda n: n.chars, default=None)
-    best = max((n for w, n in worth if w >= 0.9 * most), key=lambda n: (n.path.count(">"), -n.order))
+        return max(held, key=lambda n: n.chars, default=None)
+    best = max((n for w, n in worth if w >= 0.9 * most), key=lambda n: (n.depth, -n.order))
     x = best
     while x is not None:
         if x.wide:
@@ -144,7 +167,7 @@ def _best(nodes: list[Node]) -> Node | None:
 def best_path(html: str) -> tuple[str | None, int]:
     """A page's vote and its weight."""
     nodes, stream = _parse(html)
-    _score(stream)
+    _score(nodes, stream)
     best = _best(nodes)
     return (best.path, max(best.chars - 2 * best.linked, 0)) if best is not None and best.chars else (None, 0)
 
@@ -152,33 +175,16 @@ def best_path(html: str) -> tuple[str | None, int]:
 def extract(html: str, path: str | None) -> str:
     """The text of the page's elements on path, or of its own best container without such an element."""
     nodes, stream = _parse(html)
-    inside = {id(n) for n in nodes if n.path == path}
-    if not inside:
-        _score(stream)
+    chosen = [n for n in nodes if n.container and n.path == path]
+    if not chosen:
+        _score(nodes, stream)
         best = _best(nodes)
-        inside = {id(best)} if best is not None else set()
-    held: dict[int, bool] = {}
-
-    def within(node: Node | None) -> bool:
-        if node is None:
-            return False
-        if (k := id(node)) not in held:
-            held[k] = k in inside or within_up(node)
-        return held[k]
-
-    def within_up(node: Node) -> bool:
-        x = node.parent
-        while x is not None:
-            if id(x) in inside:
-                return True
-            x = x.parent
-        return False
-
-    if not nodes:  # bare text without any container
-        parts = [t if t is not None else " " for _, t in stream]
-    else:
-        parts = [" " if t is None else t for n, t in stream if t is None or within(n)]
-    return " ".join("".join(parts).split())
+        chosen = [best] if best is not None else nodes[:1]  # bare text without any container: the whole page
+    for n in chosen:
+        n.inside = True
+    for n in nodes[1:]:
+        n.inside = n.inside or n.parent.inside
+    return " ".join("".join(" " if t is None else t for n, t in stream if t is None or n.inside).split())
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -252,3 +252,12 @@ def test_pipeline(spark, sf):
     links = brute_links(unique, 5)
     stay = {i for i, (_, c) in links.items() if i == c}
     assert ids <= stay and len(ids) > 0.3 * len(stay)
+
+
+def test_html_deep_and_broken_pages_take_linear_work():
+    deep = "<div class=a>" * 20_000 + "deep text" + "</div>" * 20_000
+    assert html_text.extract(deep, html_text.best_path(deep)[0]) == "deep text"
+    assert len(html_text.best_path(deep)[0]) <= html_text.PATH_CHARS
+    stray = "<article>" + "<b>" * 20_000 + "x" + "</i>" * 20_000 + "</article>"
+    assert html_text.extract(stray, html_text.best_path(stray)[0]) == "x"
+    assert html_text.extract("bare &amp; text", None) == "bare & text"
