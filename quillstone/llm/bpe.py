@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty
+from .common import take_over, text_or_empty
 
 LONG_BYTES = 512
 #: Texts are encoded in groups of about so many characters.
@@ -210,6 +210,13 @@ def encoder(path: str, pattern: str) -> Encoder:
     return _ENCODERS[path, pattern]
 
 
+def forget() -> None:
+    for e in _ENCODERS.values():
+        e.db.close()
+    _ENCODERS.clear()
+    gc.enable()
+
+
 def groups(texts: list[str], most: int = GROUP_CHARS) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about most characters each."""
     begin = size = 0
@@ -227,6 +234,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "do
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        take_over("bpe", forget)
         gc.disable()  # hundreds of thousands of small results and no cycles among them
         e = encoder(path, pattern)
         for batch in batches:

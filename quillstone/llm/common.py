@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
+from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +20,28 @@ WHITE = r"[\x20\x09-\x0D]"
 BROADCAST_ROWS = 1_000_000
 
 
+#: What frees the memory that a Python worker keeps for an operator between tasks, by operator.
+_KEPT: dict[str, Callable[[], object]] = {}
+
+
+def take_over(name: str, free: Callable[[], object] | None = None) -> None:
+    """Called where a task of operator name begins: frees what other operators keep in this Python worker.
+
+    Spark uses its workers again for later stages, so what one stage keeps would else lie beside the
+    next one's.  free empties what name itself will keep, and is called by the next operator.
+    """
+    others = [k for k in _KEPT if k != name]
+    for k in others:
+        _KEPT.pop(k)()
+    if others:
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+            libc.malloc_trim(0)
+    if free is not None:
+        _KEPT[name] = free
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ascii_lower, bounded, cut, shuffle_partitions, text_or_empty
+from .common import ascii_lower, bounded, cut, shuffle_partitions, take_over, text_or_empty
 
 PREFIX = 64
 EDGE = "struct<n_runs:bigint,head:binary,tail:binary,n_head:bigint,n_tail:bigint,id_head:bigint,id_tail:bigint>"
@@ -112,6 +112,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ordered = ordered.select("__id", F.col("__norm").cast("binary").alias("__norm"), F.unhex(F.sha2(F.col("__norm").cast("binary"), 256)).alias("__sha"))
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        take_over("exact_dedup")
         pid, state, kept = TaskContext.get().partitionId(), _Runs(), []
         for b in batches:
             if b.num_rows:
@@ -161,6 +162,7 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     ])
 
     def first_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        take_over("exact_dedup")
         pid, state, kind = TaskContext.get().partitionId(), _Runs(), None
         edge = pa.struct([("n_runs", pa.int64()), ("head", pa.binary()), ("tail", pa.binary()), ("n_head", pa.int64()), ("n_tail", pa.int64()), ("id_head", pa.int64()), ("id_tail", pa.int64())])
         names = ["__row", "__pid", "__run", "__edge"]

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bounded, cut, text_or_empty
+from .common import bounded, cut, take_over, text_or_empty
 from .components import components
 
 BANDS, ROWS = 32, 4
@@ -62,6 +62,11 @@ _WORDS = _Hashes()
 _PERMUTATIONS: list[np.ndarray] = []
 
 
+def forget() -> None:
+    _WORDS.clear()
+    _PERMUTATIONS.clear()
+
+
 def shingles(text: str, width: int) -> np.ndarray:
     """The distinct shingles' 64-bit hashes, sorted; words are lower-cased in A-Z only."""
     words = text.encode().lower().split()  # bytes: splits at space and U+0009 to U+000D only
@@ -120,6 +125,7 @@ def _measure(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFra
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        take_over("minhash", forget)
         for b in batches:
             for i in range(0, b.num_rows, 1000):
                 part = b.slice(i, 1000)
@@ -142,6 +148,7 @@ def _sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, width: in
     chosen = chosen.join(bounded(ids.withColumnRenamed("doc_id", "want")), F.col("doc_id").eqNullSafe(F.col("want")), "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        take_over("minhash", forget)
         for b in batches:
             for i in range(0, b.num_rows, 500):
                 found = [shingles(t, width) for t in b.column("text").slice(i, 500).to_pylist()]
@@ -190,6 +197,7 @@ def _hopeful(full: DataFrame, percent: int) -> DataFrame:
     """centre, class of the members that sizes and sketches leave a possible link to another component."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        take_over("minhash", forget)
         for batch in batches:
             for k in range(batch.num_rows):
                 sides = []
@@ -226,6 +234,7 @@ def _between(stars: DataFrame, comps: DataFrame, sketches: DataFrame, sets, perc
     full = cut(_apart(held).join(found, F.col("class") == F.col("of_class")).drop("of_class"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        take_over("minhash", forget)
         for batch in batches:
             a, b = [], []
             for k in range(batch.num_rows):

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty
+from .common import take_over, text_or_empty
 from .quality_rules import labelled_sample
 
 MAX_LABELLED = 20_000
@@ -121,6 +121,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     chosen = docs.select(F.col(id_col).cast("long").alias("__id"), text_or_empty(text_col).alias("__text")).join(sample, "__id")
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        take_over("quality_model")
         for b in batches:
             x = _table(b.column("__text").to_pylist())
             yield pa.RecordBatch.from_arrays([b.column("__id"), b.column("__label"), pa.array(list(x), pa.list_(pa.float64()))], ["id", "label", "x"])
@@ -134,6 +135,7 @@ def score(docs: DataFrame, trees: Trees, columns: list[str], text_col: str = "te
     named = docs.select(F.struct(*[docs[c] for c in columns]).alias("__row"), text_or_empty(text_col).alias("__text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        take_over("quality_model")
         for b in batches:
             for i in range(0, b.num_rows, 2000):
                 part = b.slice(i, 2000)
