@@ -8,8 +8,9 @@ the entity's own information,
     PMI(c; t) = log(N * n(c, t) / (n(c) * n(t))),   IC(c) = log(N / n(c)),
 
 where n(c, t) counts documents in which t stands within WINDOW words of c.  Terms whose share
-PMI / IC reaches GENERALISE_AT are generalised, from REMOVE_AT on removed.  A pair seen in fewer than
-LEAST_DOCUMENTS documents is no evidence.
+PMI / IC reaches GENERALISE_AT are generalised, from REMOVE_AT on removed.  Every pair is scored, also
+one seen in a single document, as most entities stand in no more: a term that stands nowhere else leads
+to its entity, whether by chance or not.
 
 Only terms that stand near an entity are ever counted in the corpus; they are broadcast as a filter
 if few, joined otherwise.
@@ -45,7 +46,6 @@ NOT_TERM_SQL = r"[^A-Za-z\x{80}-\x{10FFFF}]+"
 DIGITS = re.compile("[0-9]")
 AT_LEAST = 4
 WINDOW = 8
-LEAST_DOCUMENTS = 3
 GENERALISE_AT, REMOVE_AT = 0.8, 0.95
 LOWER = {ord(a): ord(a.lower()) for a in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
 
@@ -145,12 +145,12 @@ def _term_counts(docs: DataFrame, terms: DataFrame, text_col: str) -> DataFrame:
     return tokens.join(small, F.col("token") == F.col("term"), "left_semi").groupBy(F.col("token").alias("term")).agg(F.count("*").alias("n"))
 
 
-def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST_DOCUMENTS, generalise_at: float = GENERALISE_AT, remove_at: float = REMOVE_AT) -> DataFrame:
+def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", generalise_at: float = GENERALISE_AT, remove_at: float = REMOVE_AT) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base (spans), terms (kind, start, end, disclosed) for every row of docs."""
     found = cut(_detect(docs, id_col, text_col).withColumn("row", F.monotonically_increasing_id()))
     total = found.count()
     seen = cut(found.where(F.size("near") > 0).select("row", F.explode("near").alias("x")).select("row", "x.*"))
-    pairs = seen.select("row", "entity", "term").distinct().groupBy("entity", "term").agg(F.count("*").alias("both")).where(F.col("both") >= least)
+    pairs = seen.select("row", "entity", "term").distinct().groupBy("entity", "term").agg(F.count("*").alias("both"))
     pairs = cut(pairs)
     of_entity = found.select(F.explode("entities").alias("of")).groupBy("of").agg(F.count("*").alias("n_entity"))
     of_term = _term_counts(docs, cut(pairs.select("term").distinct()), text_col).withColumnsRenamed({"term": "of_term", "n": "n_term"})

@@ -226,6 +226,14 @@ def test_pii_terms_that_give_an_entity_away(spark):
     assert text == "write to  at [EMAIL] about this"
 
 
+@pytest.mark.parametrize("documents", [1, 2])
+def test_pii_terms_of_an_entity_in_few_documents(spark, documents):
+    rows = [(k, f"write to nowhere about this thing number {k}") for k in range(200)] + [(500 + k, "write to zebediah at zeb@farm.org about this") for k in range(documents)]
+    found = pii.find(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert [[(t["start"], t["end"], t["action"]) for t in r["terms"]] for r in found.where("doc_id >= 500").collect()] == [[(9, 17, "remove")]] * documents
+    assert found.where("size(terms) > 0").count() == documents
+
+
 def test_sharding(spark, odd):
     owner = sharding.fill(["a", "b", "c"], 101)
     assert set(Counter(owner).values()) <= {33, 34}
