@@ -7,13 +7,20 @@ the entity's own information,
 
     PMI(c; t) = log(N * n(c, t) / (n(c) * n(t))),   IC(c) = log(N / n(c)),
 
-where n(c, t) counts documents in which t stands within WINDOW words of c.  Terms whose share
-PMI / IC reaches GENERALISE_AT are generalised, from REMOVE_AT on removed.  Every pair is scored, also
+where n(c, t) counts documents in which t stands near c: among the WINDOW long and the WINDOW short
+terms on either side of a mention, across line ends.  Terms whose share PMI / IC reaches GENERALISE_AT
+are generalised, from REMOVE_AT on removed, wherever they stand in a document that holds c.  Every pair is scored, also
 one seen in a single document, as most entities stand in no more: a term that stands nowhere else leads
 to its entity, whether by chance or not.
 
-Only terms that stand near an entity are ever counted in the corpus; they are broadcast as a filter
-if few, joined otherwise.
+Terms are runs of letters and digits, compared without the case of A-Z.  A long one has LONG
+characters or more; a shorter one of two or three counts as near an entity only if it holds a capital, a
+digit or a character beyond ASCII, as names and codes do ("Ann", "b7"), so that "at" or "the" is no term.
+A short name in small letters is found where it stands in capitals near the entity too.  Single
+characters are no terms.
+
+All terms of the corpus are counted before they are joined with those near an entity, so that the join
+takes one row of each.
 
 Defined results: null text counts as empty; failing matches of a pattern are dropped without retry;
 repeated rows count as documents of their own; without entities there are no terms; in an empty
@@ -24,7 +31,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from bisect import bisect_right
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -39,12 +46,13 @@ EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-#: A term: four letters or more, where all but ASCII counts as letters.
-TERM = re.compile("[A-Za-z\u0080-\U0010ffff]{4,}")
-TERM_SQL = r"[A-Za-z\x{80}-\x{10FFFF}]{4,}"
-NOT_TERM_SQL = r"[^A-Za-z\x{80}-\x{10FFFF}]+"
+#: A term: two or more letters and digits, where all but ASCII counts as letters.
+TERM = re.compile("[A-Za-z0-9\u0080-\U0010ffff]{2,}")
+NOT_TERM_SQL = r"[^A-Za-z0-9\x{80}-\x{10FFFF}]+"
+#: What a term of fewer than LONG characters has if it counts.
+MARKED = re.compile("[A-Z0-9\u0080-\U0010ffff]")
 DIGITS = re.compile("[0-9]")
-AT_LEAST = 4
+LONG = 4
 WINDOW = 8
 GENERALISE_AT, REMOVE_AT = 0.8, 0.95
 LOWER = {ord(a): ord(a.lower()) for a in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
@@ -84,28 +92,42 @@ def _entity(kind: str, value: str) -> str:
     return f"{kind}:{value}"
 
 
-def _near(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[str, str, int, int]]:
-    """entity, term, start, end of the terms within WINDOW terms of a mention; those that overlap a mention don't count."""
+def _free_terms(text: str, spans: list[tuple[str, int, int]]) -> Iterator[re.Match]:
+    """The terms that don't overlap a mention, in order."""
+    covered = sorted((a, b) for _, a, b in spans)
+    k, reach = 0, 0
+    for m in TERM.finditer(text):
+        while k < len(covered) and covered[k][0] < m.end():
+            reach = max(reach, covered[k][1])
+            k += 1
+        if reach <= m.start():
+            yield m
+
+
+def _near(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[str, str]]:
+    """entity, term of the terms near a mention; those that overlap a mention don't count."""
     if not spans:
         return []
-    covered = sorted((a, b) for _, a, b in spans)
+    sorts: list[tuple[list[int], list[str]]] = [([], []), ([], [])]
+    for m in _free_terms(text, spans):
+        term = m.group()
+        if len(term) >= LONG or MARKED.search(term):
+            starts, terms = sorts[len(term) >= LONG]
+            starts.append(m.start())
+            terms.append(term.translate(LOWER))
     found = set()
     for kind, a, b in spans:
-        before = list(TERM.finditer(text, max(0, text.rfind("\n", 0, a) + 1), a))[-WINDOW:]
-        line_end = text.find("\n", b)
-        after = []
-        for m in TERM.finditer(text, b, len(text) if line_end < 0 else line_end):
-            after.append(m)
-            if len(after) == WINDOW:
-                break
-        for m in before + after:
-            k = bisect_right(covered, (m.start(), len(text)))
-            over = k and covered[k - 1][1] > m.start() or k < len(covered) and covered[k][0] < m.end()
-            if not over:
-                found.add((_entity(kind, text[a:b]), m.group().translate(LOWER), m.start(), m.end()))
+        entity = _entity(kind, text[a:b])
+        for starts, terms in sorts:
+            k = bisect_left(starts, a)
+            found.update((entity, term) for term in terms[max(0, k - WINDOW) : k + WINDOW])
     return sorted(found)
 
 
+def _spans(joined: str) -> list[tuple[str, int, int]]:
+    return [(k, int(a), int(b)) for k, a, b in (x.split(":") for x in joined.split(",") if x)]
+
+
 def _join_spans(spans: list[tuple[str, int, int]]) -> str:
     return ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
 
@@ -114,55 +136,73 @@ def _detect(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        near_type = pa.list_(pa.struct([("entity", pa.string()), ("term", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
+        near_type = pa.list_(pa.struct([("entity", pa.string()), ("term", pa.string())]))
         for b in batches:
             for i in range(0, b.num_rows, 1000):
                 part = b.slice(i, 1000)
-                counts, joined, near, entities = {k: [] for k in KINDS}, [], [], []
+                counts, joined, near, entities, held = {k: [] for k in KINDS}, [], [], [], []
                 for text in part.column("text").to_pylist():
                     spans = base_spans(text)
                     for k in KINDS:
                         counts[k].append(sum(s[0] == k for s in spans))
                     joined.append(_join_spans(spans))
-                    near.append([dict(zip(("entity", "term", "start", "end"), x)) for x in _near(text, spans)])
+                    near.append([dict(zip(("entity", "term"), x)) for x in _near(text, spans)])
+                    held.append(text if spans else None)
                     entities.append(sorted({_entity(k, text[a:e]) for k, a, e in spans}))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), *[pa.array(counts[k], pa.int64()) for k in KINDS], pa.array(joined, pa.string()), pa.array(entities, pa.list_(pa.string())), pa.array(near, near_type)],
-                    ["doc_id", *[f"n_{k}" for k in KINDS], "base", "entities", "near"],
+                    [part.column("doc_id"), *[pa.array(counts[k], pa.int64()) for k in KINDS], pa.array(joined, pa.string()), pa.array(entities, pa.list_(pa.string())), pa.array(near, near_type), pa.array(held, pa.string())],
+                    ["doc_id", *[f"n_{k}" for k in KINDS], "base", "entities", "near", "held"],
                 )
 
-    return slim.mapInArrow(run, "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base string, entities array<string>, near array<struct<entity:string,term:string,start:int,end:int>>")
+    return slim.mapInArrow(run, "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base string, entities array<string>, near array<struct<entity:string,term:string>>, held string")
 
 
-def _term_counts(docs: DataFrame, terms: DataFrame, text_col: str) -> DataFrame:
-    """term, n: the number of rows of docs in which each of terms stands."""
-    n = terms.count()
-    small = bounded(terms, n)
-    words = F.array_distinct(F.split(ascii_lower(text_or_empty(text_col)), NOT_TERM_SQL))
-    tokens = docs.select(F.explode(words).alias("token")).where(F.length("token") >= AT_LEAST)
-    if small is terms:  # counted before the join, so that what is dealt out are partial counts of distinct words
-        return tokens.groupBy("token").agg(F.count("*").alias("n")).join(terms, F.col("token") == F.col("term")).select("term", "n")
-    return tokens.join(small, F.col("token") == F.col("term"), "left_semi").groupBy(F.col("token").alias("term")).agg(F.count("*").alias("n"))
+def _words(text: Column) -> Column:
+    """The distinct terms of text, and what single characters and "" stand between them."""
+    return F.array_distinct(F.split(ascii_lower(text), NOT_TERM_SQL))
+
+
+def _place(rows: DataFrame) -> DataFrame:
+    """rows' of_row, and terms as spans wherever they stand in held outside the mentions; rows: of_row, base, held, given (term, disclosed)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("disclosed", pa.float64())]))
+        for b in batches:
+            for i in range(0, b.num_rows, 100):
+                part, out = b.slice(i, 100), []
+                for base, text, given in zip(*(part.column(c).to_pylist() for c in ("base", "held", "given"))):
+                    share = {x["term"]: x["disclosed"] for x in given}
+                    placed = ((m.start(), m.end(), share.get(m.group().translate(LOWER))) for m in _free_terms(text, _spans(base)))
+                    out.append([{"start": a, "end": e, "disclosed": d} for a, e, d in placed if d is not None])
+                yield pa.RecordBatch.from_arrays([part.column("of_row"), pa.array(out, kind)], ["of_row", "placed"])
+
+    return rows.select("of_row", "base", "held", "given").mapInArrow(run, "of_row bigint, placed array<struct<start:int,end:int,disclosed:double>>")
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", generalise_at: float = GENERALISE_AT, remove_at: float = REMOVE_AT) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base (spans), terms (kind, start, end, disclosed) for every row of docs."""
     found = cut(_detect(docs, id_col, text_col).withColumn("row", F.monotonically_increasing_id()))
     total = found.count()
-    seen = cut(found.where(F.size("near") > 0).select("row", F.explode("near").alias("x")).select("row", "x.*"))
-    pairs = seen.select("row", "entity", "term").distinct().groupBy("entity", "term").agg(F.count("*").alias("both"))
-    pairs = cut(pairs)
-    of_entity = found.select(F.explode("entities").alias("of")).groupBy("of").agg(F.count("*").alias("n_entity"))
-    of_term = _term_counts(docs, cut(pairs.select("term").distinct()), text_col).withColumnsRenamed({"term": "of_term", "n": "n_term"})
-    scored = pairs.join(of_entity, F.col("entity") == F.col("of")).join(of_term, F.col("term") == F.col("of_term"))
+    near = found.where(F.size("near") > 0).select(F.explode("near").alias("x")).select("x.*")
+    pairs = cut(near.groupBy("entity", "term").agg(F.count("*").alias("both")))  # near holds a pair once for each row
+    of_entity = cut(found.select(F.explode("entities").alias("of")).groupBy("of").agg(F.count("*").alias("n_entity")))
+    counted = docs.select(F.explode(_words(text_or_empty(text_col))).alias("of_term")).groupBy("of_term").agg(F.count("*").alias("n_term"))
+    of_term = cut(counted.join(pairs.select(F.col("term").alias("of_term")).distinct(), "of_term", "left_semi"))
+    scored = pairs.join(bounded(of_entity), F.col("entity") == F.col("of")).join(bounded(of_term), F.col("term") == F.col("of_term"))
     information = F.log(F.lit(float(max(total, 1))) / F.col("n_entity"))
     mutual = F.log(F.lit(float(max(total, 1))) * F.col("both") / (F.col("n_entity") * F.col("n_term")))
     share = F.when(information > 0, mutual / information).otherwise(F.lit(0.0))
     disclosing = cut(scored.select(F.col("entity").alias("of_entity"), F.col("term").alias("of_term"), share.alias("disclosed")).where(F.col("disclosed") >= generalise_at))
-    hits = seen.join(bounded(disclosing), (F.col("entity") == F.col("of_entity")) & (F.col("term") == F.col("of_term")))
-    spans = hits.groupBy("row", "start", "end").agg(F.max("disclosed").alias("disclosed"))
-    kind = F.when(F.col("disclosed") >= remove_at, "remove").otherwise("generalise")
-    spans = spans.groupBy(F.col("row").alias("of_row")).agg(F.sort_array(F.collect_list(F.struct("start", "end", kind.alias("action"), "disclosed"))).alias("terms"))  # one document's spans
+    # Joined by term before entity: a term gives few entities away, an entity may be given away by a term in each of its documents.
+    private = found.where(F.col("held").isNotNull())
+    words = private.select(F.col("row").alias("of_row"), F.explode(_words(F.col("held"))).alias("word"))
+    mentions = private.select(F.col("row").alias("in_row"), F.explode("entities").alias("in_entity"))
+    hits = words.join(bounded(disclosing), F.col("word") == F.col("of_term")).join(mentions, (F.col("of_row") == F.col("in_row")) & (F.col("of_entity") == F.col("in_entity")), "left_semi")
+    given = hits.groupBy("of_row", "of_term").agg(F.max("disclosed").alias("disclosed"))
+    given = cut(given.groupBy("of_row").agg(F.collect_list(F.struct(F.col("of_term").alias("term"), "disclosed")).alias("given")))  # one document's terms
+    placed = _place(private.join(given, F.col("row") == F.col("of_row")))
+    kind = lambda x: F.when(x["disclosed"] >= remove_at, "remove").otherwise("generalise")
+    spans = placed.select("of_row", F.transform("placed", lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), kind(x).alias("action"), x["disclosed"].alias("disclosed"))).alias("terms"))
     return found.join(spans, F.col("row") == F.col("of_row"), "left").select("doc_id", *[f"n_{k}" for k in KINDS], "base", F.coalesce("terms", F.expr("cast(array() as array<struct<start:int,end:int,action:string,disclosed:double>>)")).alias("terms"))
 
 

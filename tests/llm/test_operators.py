@@ -234,6 +234,19 @@ def test_pii_terms_of_an_entity_in_few_documents(spark, documents):
     assert found.where("size(terms) > 0").count() == documents
 
 
+def test_pii_terms_across_lines_and_at_all_their_places(spark):
+    text = "Zebediah Ann\nb7\nzeb@farm.org is open for new orders today.\nThis thing is what zebediah had, and about ANN: zeb@farm.org"
+    rows = [(k, f"this thing is open for new orders today and what had about number {k}") for k in range(200)] + [(500, text), (501, "zebediah"), (502, text)]
+    found = {r["doc_id"]: r["terms"] for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [text[t["start"] : t["end"]] for t in found[500]] == ["Zebediah", "Ann", "b7", "zebediah", "ANN"] and found[501] == []
+    assert found[500] == found[502] and [t["start"] for t in found[500]] == sorted(t["start"] for t in found[500])
+
+
+def test_pii_near_terms_are_few_for_each_mention():
+    text = "a1 " * 3000 + "1.2.3.4 " * 1000
+    assert pii._near(text, pii.base_spans(text)) == [("ip:1.2.3.4", "a1")]
+
+
 def test_sharding(spark, odd):
     owner = sharding.fill(["a", "b", "c"], 101)
     assert set(Counter(owner).values()) <= {33, 34}
