@@ -1,9 +1,15 @@
 """Main text of web pages by consensus host paths.
 
-Every page's containers are scored by the text they hold, less what is in links; the best one's path
-of generalised tags and classes is the page's vote.  Votes are summed by host and path in Spark, the
-path with most weight wins its host, and every page is extracted again from its elements on that
-path.  A page without such an element uses its own best container.
+Every page's containers are scored by the text they hold, less what is in links; blocks that are mostly
+links count nothing.  The best one is the deepest that holds all of this text, or the article or main
+element with nine tenths of it, as the author then says what the article is.  Its path of generalised
+tags and classes is the page's vote.  Votes are summed by host and path in Spark, the path with most
+weight wins its host, and every page is extracted again from its elements on that path.
+
+A page whose elements on the winning path are worth less than half of its best container is of another
+layout if it has a container worth more than twice as much on another path that two or more pages of the
+host voted for: that path is taken.  It uses its own best container if that is an article or main
+element, and if it has no text on the path.
 
 Left out everywhere: scripts, styles, navigation, headers and footers, asides, forms, embedded
 media and elements whose class, id or role says that they are adverts, notices, comments or the like.
@@ -20,9 +26,11 @@ from __future__ import annotations
 import hashlib
 import html as entities
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import partial
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -53,7 +61,7 @@ class Node:
     parent: Node | None
     dropped: bool
     chars: int = 0
-    linked: int = 0
+    worth: int = 0
     order: int = 0
     depth: int = 0
     wide: bool = False
@@ -136,32 +144,30 @@ def _parse(page: str) -> tuple[list[Node], list[tuple[Node, str | None]]]:
 
 
 def _score(nodes: list[Node], stream: list[tuple[Node, str | None]]) -> None:
-    """Characters in each element, and those of them in links, from its own text and its children's."""
+    """Characters in each element, and what they are worth: those in links count against the others, a block with more of them nothing."""
     for node, text in stream:
         if text is not None:
-            node.chars += len("".join(text.split()))
+            n = len("".join(text.split()))
+            node.chars += n
+            node.worth += n
     for node in reversed(nodes):
         if node.tag == "a":
-            node.linked = node.chars
+            node.worth = -node.chars
+        elif node.tag not in INLINE:
+            node.worth = max(node.worth, 0)
         if node.parent is not None:
             node.parent.chars += node.chars
-            node.parent.linked += node.linked
+            node.parent.worth += node.worth
 
 
 def _best(nodes: list[Node]) -> Node | None:
-    """The deepest container with nine tenths of the most unlinked text; an article or main around it is preferred."""
+    """The article or main with nine tenths of the most worth, else the deepest container with all of it."""
     held = [n for n in nodes if n.container]
-    worth = [(n.chars - 2 * n.linked, n) for n in held]
-    most = max((w for w, _ in worth), default=0)
+    most = max((n.worth for n in held), default=0)
     if most <= 0:
         return max(held, key=lambda n: n.chars, default=None)
-    best = max((n for w, n in worth if w >= 0.9 * most), key=lambda n: (n.depth, -n.order))
-    x = best
-    while x is not None:
-        if x.wide:
-            return x
-        x = x.parent
-    return best
+    wide = [n for n in held if n.wide and n.worth >= 0.9 * most]
+    return max(wide or held, key=lambda n: (n.worth, n.depth, -n.order))
 
 
 def best_path(html: str) -> tuple[str | None, int]:
@@ -169,21 +175,40 @@ def best_path(html: str) -> tuple[str | None, int]:
     nodes, stream = _parse(html)
     _score(nodes, stream)
     best = _best(nodes)
-    return (best.path, max(best.chars - 2 * best.linked, 0)) if best is not None and best.chars else (None, 0)
+    return (best.path, best.worth) if best is not None and best.chars else (None, 0)
+
 
+def _key(host: str, path: str) -> int:
+    return int(hashlib.md5(f"{host}\n{path}".encode()).hexdigest()[:15], 16)
 
-def extract(html: str, path: str | None) -> str:
-    """The text of the page's elements on path, or of its own best container without such an element."""
+
+def extract(html: str, path: str | None, layout: Callable[[str], bool] = lambda _: False) -> str:
+    """The text of the page's elements on path or that of its own layout; layout: whether other pages of the host voted for a path."""
     nodes, stream = _parse(html)
-    chosen = [n for n in nodes if n.container and n.path == path]
-    if not chosen:
-        _score(nodes, stream)
-        best = _best(nodes)
-        chosen = [best] if best is not None else nodes[:1]  # bare text without any container: the whole page
-    for n in chosen:
-        n.inside = True
-    for n in nodes[1:]:
-        n.inside = n.inside or n.parent.inside
+    _score(nodes, stream)
+    best = _best(nodes)
+
+    def take(chosen: list[Node]) -> tuple[int, int]:
+        for n in nodes:
+            n.inside = False
+        for n in chosen:
+            n.inside = True
+        chars = worth = 0
+        for n in nodes:
+            above = n.parent is not None and n.parent.inside
+            if n.inside and not above:
+                chars, worth = chars + n.chars, worth + n.worth
+            n.inside = n.inside or above
+        return chars, worth
+
+    chars, worth = take([n for n in nodes if n.container and n.path == path])
+    if not chars or best is not None and 2 * worth < best.worth:
+        fitting = {n.path for n in nodes if n.container and n.worth > 2 * worth and n.path != path}
+        other = max((n for n in nodes if n.container and n.path in fitting and layout(n.path)), key=lambda n: (n.worth, n.depth, -n.order), default=None) if fitting and not (best and best.wide) else None
+        if other is not None:
+            take([n for n in nodes if n.container and n.path == other.path])
+        elif not chars or best.wide:
+            take([best or nodes[0]])  # bare text without any container: the whole page
     return " ".join("".join(" " if t is None else t for n, t in stream if t is None or n.inside).split())
 
 
@@ -194,25 +219,36 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sums: dict[tuple[str, str], int] = {}
+            sums: dict[tuple[str, str], list[int]] = {}
             for i in range(0, b.num_rows, 500):
                 for host, page in zip(b.column("host").slice(i, 500).to_pylist(), b.column("html").slice(i, 500).to_pylist()):
                     path, weight = best_path(page)
                     if path is not None:
-                        sums[host, path] = sums.get((host, path), 0) + weight
+                        had = sums.setdefault((host, path), [0, 0])
+                        had[0] += weight
+                        had[1] += 1
             if sums:
-                yield pa.RecordBatch.from_arrays([pa.array([h for h, _ in sums]), pa.array([p for _, p in sums]), pa.array(list(sums.values()), pa.int64())], ["host", "path", "weight"])
+                yield pa.RecordBatch.from_arrays([pa.array([h for h, _ in sums]), pa.array([p for _, p in sums]), *[pa.array([x[k] for x in sums.values()], pa.int64()) for k in (0, 1)]], ["host", "path", "weight", "pages"])
 
-    votes = slim.select("host", "html").mapInArrow(vote, "host string, path string, weight bigint")
-    totals = votes.groupBy("host", "path").agg(F.sum("weight").alias("weight"))
+    votes = slim.select("host", "html").mapInArrow(vote, "host string, path string, weight bigint, pages bigint")
+    totals = cut(votes.groupBy("host", "path").agg(F.sum("weight").alias("weight"), F.sum("pages").alias("pages")))
     won = cut(totals.groupBy("host").agg(F.max(F.struct("weight", "path"))["path"].alias("path")).withColumnRenamed("host", "of_host"))
-    joined = slim.join(bounded(won), F.col("host") == F.col("of_host"), "left").select("page_id", "url", "html", "path")
+    joined = slim.join(bounded(won), F.col("host") == F.col("of_host"), "left")
+    joined = joined.select("page_id", "url", "html", "path", "host")
+    others = totals.where(F.col("pages") > 1).select(F.col("host").alias("of_host"), "path").join(won, ["of_host", "path"], "left_anti")
+    key = F.conv(F.substring(F.md5(F.concat_ws("\n", "of_host", "path").cast("binary")), 1, 15), 16, 10).cast("long")
+    # Eight bytes for each layout of a host besides its first.
+    keys = pages.sparkSession.sparkContext.broadcast(np.sort(others.select(key.alias("key")).toArrow().column("key").to_numpy()))
+
+    def voted(host: str, path: str) -> bool:
+        k, at = _key(host, path), keys.value
+        return len(at) > 0 and bool(at[min(np.searchsorted(at, k), len(at) - 1)] == k)
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(0, b.num_rows, 500):
                 part = b.slice(i, 500)
-                texts = [extract(h, p) for h, p in zip(part.column("html").to_pylist(), part.column("path").to_pylist())]
+                texts = [extract(h, p, partial(voted, host)) for h, p, host in zip(*(part.column(c).to_pylist() for c in ("html", "path", "host")))]
                 yield pa.RecordBatch.from_arrays([part.column("page_id"), part.column("url"), pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())], ["page_id", "url", "text", "n_chars"])
 
     return joined.mapInArrow(take, joined.select("page_id", "url").schema.add("text", "string").add("n_chars", "long"))

@@ -206,6 +206,22 @@ def test_html_consensus(spark):
     assert got[9] == "short" and got[3] == "the article number 3 is here" and got[10] == ""
 
 
+def test_html_keeps_what_stands_around_the_largest_part():
+    page = "<body><ul><li><a>home</a><li><a>news</a></ul><div class=post><p>intro here</p><ul><li><a>a list of many links to elsewhere</a></ul><div class=body><p>" + "text " * 30 + "</p></div></div></body>"
+    assert html_text.best_path(page)[0] == "body>div.post" and html_text.extract(page, None).startswith("intro here")
+
+
+def test_html_layouts_of_a_host(spark):
+    first, second = "<body><div class=post>{}</div>", "<body><div class=post>{}</div><div class=story><div>{}</div></div>"
+    words = "the words of the article number {} which are many and good "
+    rows = [(k, "http://h/", first.format(words.format(k) * 3)) for k in range(20)]
+    rows += [(20 + k, "http://h/", second.format("", words.format(k))) for k in range(3)] + [(30, "http://h/", second.format("teaser", words.format(9)))]
+    rows += [(31, "http://h/", f"<body><div class=post>teaser</div><article>{words.format(7) * 3}</article>")]
+    got = {r["page_id"]: r["text"] for r in html_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert [got[k] for k in (20, 21, 22)] == [words.format(k).strip() for k in range(3)]
+    assert got[30] == words.format(9).strip() and got[31] == (words.format(7) * 3).strip()
+
+
 def test_pii(spark, odd, none):
     card = "4539 1488 0343 6467"
     texts = [f"mail a.b@c-d.org now, 10.0.0.255 or 10.0.0.256, card {card}, +44 (20) 7946 0958.", "4539148803436468", "1.2.3.4.5", "\U0001f600 x@y.z", None, ""]
