@@ -12,7 +12,10 @@ host voted for: that path is taken.  It uses its own best container if that is a
 element, and if it has no text on the path.
 
 Left out everywhere: scripts, styles, navigation, headers and footers, asides, forms, embedded
-media and elements whose class, id or role says that they are adverts, notices, comments or the like.
+media and elements whose class, id or role says that they are adverts, notices, comments or the like:
+a whole name, or one made of the words of PLACE, MARK and PART ("comments", "site-header", "related-posts",
+but not "has-sidebar" or "related-work").  Headings, article and main elements stay whatever their names,
+and so does an element with more than half of the page's text, unless it is marked as comments.
 
 Defined results: null html counts as empty and gives an empty text, as does a page without text;
 null URLs and those without "://" share the host ""; broken markup (unclosed or stray tags, cut-off
@@ -44,8 +47,14 @@ RAW = frozenset("script style textarea title noscript template iframe xmp noembe
 LEFT_OUT = frozenset("head script style noscript template nav header footer aside form iframe svg canvas audio video object button select option textarea label fieldset dialog menu math title".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 CONTAINERS = frozenset("body article main section div td center".split())
-#: Words in class, id or role that mark what isn't the article.
-MARKS = re.compile(r"(?:^|[\s_-])(?:ads?|adverts?|advertis\w*|banner|breadcrumbs?|captcha|comments?|commentlist|consent|contentinfo|cookies?|disqus|footer|gdpr|header|masthead|menu|modal|nav|navbar|navigation|newsletter|notices?|pagination|pager|popup|promo\w*|recommend\w*|related|replies|respond|search|share|sharing|sidebar|signup|social|sponsor\w*|subscribe|toolbar|widget)(?:$|[\s_-])", re.I)
+#: Names in class, id or role that mark what isn't the article: places, marks and parts, and marks of comments.
+COMMENTS = r"comments?|commentlist|disqus|replies|respond"
+MARK = rf"{COMMENTS}|ads?|adverts?|advertis\w*|banner|breadcrumbs?|captcha|consent|contentinfo|cookies?|footer|gdpr|header|masthead|menu|modal|nav|navbar|navigation|newsletter|notices?|pagination|pager|popup|promo\w*|recommend\w*|related|search|share|sharing|sidebar|signup|social|sponsor\w*|subscribe|toolbar|widget"
+PLACE = r"site|page|main|top|bottom|left|right|upper|lower|global|primary|secondary|mobile|sticky|inline|user|entry|post|posts|article|content|text|google|wp|js|block|section"
+PART = r"area|articles?|bar|block|bottom|box|button|buttons|column|container|content|form|group|icons?|inner|items?|label|left|links?|list|main|media|overlay|panel|popup|posts?|primary|right|row|secondary|section|slot|stories|thread|title|top|unit|wrap|wrapper|N|[0-9]+"
+NAME = re.compile(rf"(?:(?:{PLACE})[_-]+)*(?:{MARK})(?:[_-]+(?:{MARK}|{PART}))*", re.I)
+OF_COMMENTS = re.compile(rf"(?:(?:{PLACE})[_-]+)*(?:{COMMENTS})(?:[_-]+(?:{MARK}|{PART}))*", re.I)
+NEVER_MARKED = frozenset("body html article main h1 h2 h3 h4 h5 h6".split())
 TAG = re.compile(r"<(?:!--.*?(?:-->|$)|[!?][^>]*(?:>|$)|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*)(?:>|$))", re.S)
 ATTRIBUTE = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 CLOSES = {"li": {"li"}, "p": {"p"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"tr", "td", "th"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}}
@@ -60,6 +69,8 @@ class Node:
     path: str
     parent: Node | None
     dropped: bool
+    marked: bool = False
+    comments: bool = False
     chars: int = 0
     worth: int = 0
     order: int = 0
@@ -125,10 +136,12 @@ def _parse(page: str) -> tuple[list[Node], list[tuple[Node, str | None]]]:
         names = " ".join(a or b or c for _, a, b, c in ATTRIBUTE.findall(attributes)) if "=" in attributes else ""
         cls = next((re.sub(r"\d+", "N", (a or b or c)).split() for k, a, b, c in ATTRIBUTE.findall(attributes) if k.lower() == "class"), []) if names else []
         step = tag + "".join("." + c for c in sorted(set(cls))[:3])
-        left_out = at.dropped or tag in LEFT_OUT or bool(names and tag not in ("body", "html") and MARKS.search(names))
-        child = Node(tag, _path(at.path, step), at, left_out, order=len(nodes), depth=at.depth + 1)
+        child = Node(tag, _path(at.path, step), at, at.dropped or tag in LEFT_OUT, order=len(nodes), depth=at.depth + 1)
         child.wide = tag in ("article", "main") or "role" in attributes and "main" in names.split()
-        child.container = tag in CONTAINERS and not left_out
+        child.container = tag in CONTAINERS
+        if names and tag not in NEVER_MARKED and not child.wide:
+            marks = [x for x in names.split() if NAME.fullmatch(x)]
+            child.marked, child.comments = bool(marks), any(map(OF_COMMENTS.fullmatch, marks))
         if tag in RAW:
             over = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|$)", re.I).search(page, pos)
             pos = over.start() if over else len(page)
@@ -140,7 +153,29 @@ def _parse(page: str) -> tuple[list[Node], list[tuple[Node, str | None]]]:
         nodes.append(child)
         open_tags[tag] = open_tags.get(tag, 0) + 1
         at = child
-    return nodes, stream
+    _drop_marked(nodes, stream)
+    return nodes, [x for x in stream if x[1] is None or not x[0].dropped]
+
+
+def _drop_marked(nodes: list[Node], stream: list[tuple[Node, str | None]]) -> None:
+    """Drops marked elements and all in them, but for one with more than half of the text outside comments."""
+    if any(n.marked for n in nodes):
+        within = [False] * len(nodes)
+        held = [0] * len(nodes)
+        for n in nodes[1:]:
+            within[n.order] = n.comments or within[n.parent.order]
+        for n, text in stream:
+            if text is not None and not within[n.order]:
+                held[n.order] += len("".join(text.split()))
+        total = sum(held)
+        for n in reversed(nodes[1:]):
+            if n.marked and (n.comments or 2 * held[n.order] <= total):
+                n.dropped = True
+            else:
+                held[n.parent.order] += held[n.order]
+    for n in nodes[1:]:
+        n.dropped = n.dropped or n.parent.dropped
+        n.container = n.container and not n.dropped
 
 
 def _score(nodes: list[Node], stream: list[tuple[Node, str | None]]) -> None:

@@ -222,6 +222,19 @@ def test_html_layouts_of_a_host(spark):
     assert got[30] == words.format(9).strip() and got[31] == (words.format(7) * 3).strip()
 
 
+@pytest.mark.parametrize("name", ["post has-sidebar", "content with-sidebar", "entry no-comments", "search-algorithms", "social-history", "sidebar", "widget-area", "page-header"])
+def test_html_keeps_an_article_whatever_its_layout_is_called(name):
+    page = f"<body><div class='{name}'><h2 id=search>Search</h2><p>text of the article</p><section id=related-work>what others did</section></div><div class=sidebar>no</div>"
+    assert html_text.extract(page, html_text.best_path(page)[0]) == "Search text of the article what others did"
+
+
+@pytest.mark.parametrize("name", ["comments", "comment-list", "post-comments", "site-header", "related-posts", "share-buttons", "ad-slot", "ads", "sidebar-left", "cookie-notice", "widget_12"])
+def test_html_drops_marked_elements(name):
+    long = "spam " * (40 if "comment" in name else 3)
+    page = f"<body><div class=post><p>text of the article and more</p><div class='x {name}'>{long}</div></div>"
+    assert html_text.extract(page, None) == "text of the article and more"
+
+
 def test_pii(spark, odd, none):
     card = "4539 1488 0343 6467"
     texts = [f"mail a.b@c-d.org now, 10.0.0.255 or 10.0.0.256, card {card}, +44 (20) 7946 0958.", "4539148803436468", "1.2.3.4.5", "\U0001f600 x@y.z", None, ""]
