@@ -54,6 +54,10 @@ def link_checks() -> dict[str, Column]:
     return {"page": F.col("page") >= 1, "kind": F.col("kind").isin(*LINK_KINDS), "dest_page": F.col("dest_page").isNull() | (F.col("dest_page") >= 1)}
 
 
+def deferred_checks() -> dict[str, Column]:
+    return {"name": F.col("name").isNotNull(), "observed_count": F.col("observed_count").isNull() | (F.col("observed_count") >= 0), "generated_at": F.col("generated_at").isNotNull()}
+
+
 def failures(checks: dict[str, Column]) -> Column:
     """The names of the rules a row breaks, as an array."""
     return F.array_compact(F.array(*[F.when(~F.coalesce(ok, F.lit(False)), F.lit(name)) for name, ok in checks.items()]))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..model import LINK_KINDS, block_checks, failures
+from ..model import LINK_KINDS, block_checks, deferred_checks, failures, page_checks
 
 SAMPLES = 20
 
@@ -28,13 +28,25 @@ def links_by_kind(links: DataFrame) -> DataFrame:
     return links.groupBy("doc_id").agg(F.count("*").alias("total"), *[F.count_if(F.col("kind") == k).alias(k) for k in LINK_KINDS])
 
 
-def conformance(blocks: DataFrame) -> DataFrame:
-    """doc_id, value (1 or 0), failures, samples: up to SAMPLES failing blocks in document order."""
-    checked = blocks.withColumn("broken", failures(block_checks()))
-    bad = F.size("broken") > 0
-    sample = F.slice(F.sort_array(F.collect_list(F.when(bad, F.struct("page", "reading_order_index", F.concat_ws(" ", F.col("block_id"), F.array_join("broken", ",")).alias("why"))))), 1, SAMPLES)
-    out = checked.groupBy("doc_id").agg(F.count_if(bad).alias("failures"), sample.alias("s"))
-    return out.select("doc_id", F.when(F.col("failures") == 0, 1.0).otherwise(0.0).alias("value"), "failures", F.transform("s", lambda x: x["why"]).alias("samples"))
+def conformance(blocks: DataFrame, pages: DataFrame | None = None, deferred: DataFrame | None = None, documents: DataFrame | None = None) -> DataFrame:
+    """doc_id, value (1 or 0), failures, samples: up to SAMPLES failing pages, deferred features and blocks in document order.
+
+    Each of documents has a row, or without them each with blocks or pages; faults of deferred, the whole run's, count for all.
+    """
+    row = lambda df, checks, what, page, index, name: df.withColumn("broken", failures(checks)).select("doc_id", (F.size("broken") > 0).alias("bad"), F.struct(F.lit(what).alias("what"), page.alias("page"), index.alias("index"), F.concat_ws(" ", name, F.array_join("broken", ",")).alias("why")).alias("s"))
+    none = F.lit(None).cast("int")
+    rows = row(blocks, block_checks(), 2, F.col("page"), F.col("reading_order_index"), F.col("block_id"))
+    if pages is not None:
+        rows = rows.unionByName(row(pages, page_checks(), 0, F.col("page_number"), none, F.concat_ws(":p", "doc_id", "page_number")))
+    out = rows.groupBy("doc_id").agg(F.count_if("bad").alias("failures"), F.slice(F.sort_array(F.collect_list(F.when(F.col("bad"), F.col("s")))), 1, SAMPLES).alias("s"))
+    if documents is not None:
+        out = documents.select("doc_id").join(out, "doc_id", "left")
+    if deferred is not None:
+        wrong = row(deferred.withColumn("doc_id", F.lit("")), deferred_checks(), 1, none, none, F.col("name")).where("bad")
+        out = out.crossJoin(F.broadcast(wrong.agg(F.count("*").alias("more"), F.collect_list("s").alias("t"))))  # one row, of a table of a few
+        out = out.withColumns({"failures": F.coalesce("failures", F.lit(0)) + F.col("more"), "s": F.slice(F.sort_array(F.concat(F.coalesce("s", F.expr("slice(t, 1, 0)")), "t")), 1, SAMPLES)})
+    out = out.withColumn("failures", F.coalesce("failures", F.lit(0)))
+    return out.select("doc_id", F.when(F.col("failures") == 0, 1.0).otherwise(0.0).alias("value"), "failures", F.coalesce(F.transform("s", lambda x: x["why"]), F.expr("cast(array() as array<string>)")).alias("samples"))
 
 
 def page_navigation(blocks: DataFrame, pages: DataFrame) -> DataFrame:
@@ -42,8 +54,12 @@ def page_navigation(blocks: DataFrame, pages: DataFrame) -> DataFrame:
     return pages.select("doc_id", "page_number").join(have, ["doc_id", "page_number"], "left").select("doc_id", "page_number", F.coalesce("n", F.lit(0)).alias("n"))
 
 
-def report(blocks: DataFrame, pages: DataFrame, links: DataFrame) -> DataFrame:
-    """All metrics in long form: doc_id, name, value, threshold, passed, counts."""
+def report(blocks: DataFrame, pages: DataFrame, links: DataFrame, documents: DataFrame | None = None, deferred: DataFrame | None = None) -> DataFrame:
+    """All metrics in long form: doc_id, name, value, threshold, passed, counts.
+
+    Each of documents (doc_id, once each) has all six, with zeros where it has no rows; without documents, a
+    metric has rows for the documents of its own tables only.
+    """
     none = F.lit(None).cast("double")
     row = lambda df, name, value, passed, c, limit=none: df.select("doc_id", F.lit(name).alias("name"), value.cast("double").alias("value"), limit.alias("threshold"), passed.alias("passed"), c.alias("counts"))
     yes = F.lit(True)
@@ -53,12 +69,20 @@ def report(blocks: DataFrame, pages: DataFrame, links: DataFrame) -> DataFrame:
         g = counts(blocks, by).groupBy("doc_id").agg(F.sum("n").alias("n"), F.map_from_entries(F.sort_array(F.collect_list(F.struct(by, "n")))).alias("c"))
         return row(g, f"blocks_by_{by}", F.col("n"), yes, F.col("c"))
 
+    def full(df: DataFrame, name: str, *zeros: str) -> DataFrame:
+        """df with a row for each document; those without one have the value 0 and zeros as counts of 0."""
+        if documents is None:
+            return df
+        empty = F.map_from_arrays(F.array(*map(F.lit, zeros)), F.array(*[F.lit(0).cast("long") for _ in zeros])) if zeros else F.expr("cast(map() as map<string,bigint>)")
+        joined = documents.select("doc_id").join(df, "doc_id", "left")
+        return joined.select("doc_id", F.lit(name).alias("name"), F.coalesce("value", F.lit(0.0)).alias("value"), "threshold", F.coalesce("passed", yes).alias("passed"), F.coalesce("counts", empty).alias("counts"))
+
     parts = [
-        row(page_coverage(blocks, pages), "page_coverage", F.col("coverage"), yes, longs("covered", "total")),
-        row(blocks_per_page(blocks), "blocks_per_page", F.col("mean"), yes, longs("low", "high")),
-        breakdown("region"), breakdown("looks_like"),
-        row(links_by_kind(links), "links_by_kind", F.col("total"), yes, longs(*LINK_KINDS)),
-        row(conformance(blocks), "schema_conformance", F.col("value"), F.col("value") == 1.0, longs("failures"), F.lit(1.0)),
+        full(row(page_coverage(blocks, pages), "page_coverage", F.col("coverage"), yes, longs("covered", "total")), "page_coverage"),
+        full(row(blocks_per_page(blocks), "blocks_per_page", F.col("mean"), yes, longs("low", "high")), "blocks_per_page"),
+        full(breakdown("region"), "blocks_by_region"), full(breakdown("looks_like"), "blocks_by_looks_like"),
+        full(row(links_by_kind(links), "links_by_kind", F.col("total"), yes, longs(*LINK_KINDS)), "links_by_kind", *LINK_KINDS),
+        row(conformance(blocks, pages, deferred, documents), "schema_conformance", F.col("value"), F.col("value") == 1.0, longs("failures"), F.lit(1.0)),
     ]
     out = parts[0]
     for p in parts[1:]:

@@ -86,7 +86,8 @@ class Run:
 
     def validate(self) -> dict[str, int]:
         """One row for each metric and document; ok is whether all passed."""
-        rows = metrics.report(self.read("intermediate", "extract_blocks", "blocks"), self.read("intermediate", "parse", "pages"), self.read("intermediate", "parse", "links"))
+        deferred = self.read("deferred") if self.has("deferred") else None
+        rows = metrics.report(self.read("intermediate", "extract_blocks", "blocks"), *(self.read("intermediate", "parse", t) for t in ("pages", "links")), self._documents(), deferred)
         rows = self.write(rows, "intermediate", "validate", "validation_report")
         n, failed = rows.agg(F.count("*"), F.count_if(~F.col("passed"))).first()
         return {"metrics": n, "failed": failed}
@@ -123,6 +124,16 @@ class Run:
         self.stage("validate")
         return self.read("intermediate", "validate", "validation_report")
 
+    def _documents(self) -> DataFrame:
+        """doc_id of every document that the settings, the tables of the source or the published document table name."""
+        known = [self.read("intermediate", "parse", name) for name in PARSED] + [self.configs] * (self.configs is not None)
+        if self.has("document"):
+            known.append(self.read("document"))
+        out = known[0].select("doc_id")
+        for df in known[1:]:
+            out = out.union(df.select("doc_id"))
+        return out.where(F.col("doc_id").isNotNull()).distinct()
+
     def _deferred(self, reports: list[tuple]) -> None:
         seen = {COUNTED[k]: n for r in reports for k, n in r[2].items() if k in COUNTED}
         rows = self.spark.createDataFrame([(f, seen.get(f)) for f in DEFERRED], "name string, observed_count bigint")

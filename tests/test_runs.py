@@ -42,6 +42,26 @@ def test_run_and_differences(spark, sf, tmp_path):
         a.stage("made_up")
 
 
+def test_validation_covers_all_documents_and_pages(spark, tmp_path):
+    e = adapters.text_elements(spark.createDataFrame([("a", "Title\nA line of text"), ("b", "Other\nline")], "doc_id string, text string"))
+    p = adapters.text_pages(e)
+    tables = {"elements": e, "pages": p.withColumn("rotation", F.when(F.col("doc_id") == "b", 45).otherwise(F.col("rotation")))}
+    run = Run(spark, f"{tmp_path}/run", spark.createDataFrame([("a",), ("b",), ("empty",)], "doc_id string"))
+    rows = {(r["doc_id"], r["name"]): r for r in run.run(tables).collect()}
+    assert len(rows) == 18 and {d for d, _ in rows} == {"a", "b", "empty"}
+    assert [rows[d, "schema_conformance"]["passed"] for d in ("a", "b", "empty")] == [True, False, True]
+    assert rows["a", "links_by_kind"]["value"] == 0.0 and rows["empty", "links_by_kind"]["counts"] == {"internal": 0, "external": 0}
+    assert rows["empty", "blocks_per_page"]["value"] == 0.0 and rows["empty", "page_coverage"]["counts"] == {}
+    assert {r["doc_id"]: r["pipeline_passed"] for r in run.read("document").collect()} == {"a": True, "b": False, "empty": True}
+    run.configs = None
+    assert run.revalidate().count() == 18
+    bad = run.read("deferred").withColumn("observed_count", F.when(F.col("name") == "chunking", -1))
+    bad.write.parquet(f"{tmp_path}/bad")
+    run.write(spark.read.parquet(f"{tmp_path}/bad"), "deferred")
+    failed = run.revalidate().where("not passed").collect()
+    assert {r["doc_id"]: r["counts"]["failures"] for r in failed} == {"a": 1, "b": 2, "empty": 1}
+
+
 def test_stable_rows_at_any_depth(spark):
     rows = [(1, ("x", 5), [("x", 6)], {"git_sha": "y", "k": "v"})]
     df = spark.createDataFrame(rows, "generated_at int, s struct<a:string,git_sha:int>, l array<struct<a:string,started_at:int>>, m map<string,string>")
