@@ -68,13 +68,14 @@ def ingest(spark: SparkSession, a: argparse.Namespace) -> int:
     settings = config.load(spark, a.config) if a.config else config.infer(a.file)
     run = Run(spark, a.out_dir or (f"output/{settings['doc_id']}" if a.config else settings["doc_id"]), config.frame(spark, [settings]))
     report = run.run(source_tables(spark, settings), a.force)
-    bad = report.where("not passed").select("name", "value", "threshold").take(20)
-    print(f"{settings['doc_id']}: validation {'failed' if bad else 'passed'}, in {run.out}")
-    for row in bad:
+    bad = report.where("not passed").select("name", "value", "threshold")
+    failed = bad.count()
+    print(f"{settings['doc_id']}: validation {'failed' if failed else 'passed'}, in {run.out}")
+    for row in bad.toLocalIterator():
         print(f"  {row['name']}: value {row['value']}, threshold {row['threshold']}")
     if not a.no_preview:
         print(f"  preview: {show(run, f'{run.out}/preview.html')}")
-    return int(bool(bad) and not a.no_fail)
+    return int(failed > 0 and not a.no_fail)
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
@@ -87,9 +88,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         if a.command == "ingest":
             return ingest(spark, a)
         if a.command == "diff":
-            rows = differences(spark, a.a, a.b).take(100)
-            print("\n".join(f"  {r['path']}: {r['n_a']} and {r['n_b']} times {r['row']}" for r in rows) or "identical")
-            return int(bool(rows))
+            n = 0
+            for n, r in enumerate(differences(spark, a.a, a.b).toLocalIterator(), 1):
+                print(f"  {r['path']}: {r['n_a']} and {r['n_b']} times {r['row']}")
+            print(f"{n} differences" if n else "identical")
+            return int(n > 0)
         settings = config.load(spark, a.config) if a.config else None
         if settings is None and a.run_dir is None:
             raise RunError("give a run's folder or --config")

@@ -84,6 +84,17 @@ def test_command_line(spark, tmp_path, capsys):
     assert main(["inspect", str(out), "--out", str(tmp_path / "p.html")], spark) == 0 and (tmp_path / "p.html").read_text() == page
 
 
+def test_diff_prints_all_differences(spark, tmp_path, capsys):
+    file = tmp_path / "a.txt"
+    for name in ("x", "y"):
+        file.write_text("\n".join(f"line {k} of {name}" for k in range(70)))
+        assert main(["ingest", str(file), "--out-dir", str(tmp_path / name), "--no-preview"], spark) == 0
+    capsys.readouterr()
+    assert main(["diff", str(tmp_path / "x"), str(tmp_path / "y")], spark) == 1
+    said = capsys.readouterr().out.splitlines()
+    assert len(said) == 141 and said[-1] == "140 differences"
+
+
 def test_schema_files(spark, tmp_path):
     assert main(["export-schemas", "--out", str(tmp_path)], spark) == 0 and schema_files.drift(str(tmp_path)) == []
     (tmp_path / "blocks.schema.json").write_text("{}")
