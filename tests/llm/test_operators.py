@@ -304,6 +304,55 @@ def test_pipeline(spark, sf):
     assert ids <= stay and len(ids) > 0.3 * len(stay)
 
 
+def brute_mix(rows):
+    """doc_id: how often the mix takes it, from doc_id, text, source."""
+    by_source = {}
+    for i, text, source in rows:
+        by_source.setdefault(source, []).append((hashlib.md5(str(i).encode()).hexdigest(), i, len(re.findall(r"[^\x20\x09-\x0D]+", text or ""))))
+    names = sorted(by_source, key=lambda s: (s is None, s or ""))
+    weight = {s: mixing.WEIGHTS[k % len(mixing.WEIGHTS)] for k, s in enumerate(names)}
+    total = {s: sum(n for *_, n in by_source[s]) for s in names}
+    cap = {s: 3.0 * total[s] for s in names}
+    target, free, left = {}, list(names), float(sum(total.values()))
+    while stopped := [s for s in free if left * weight[s] / sum(weight[x] for x in free) > cap[s]]:
+        target |= {s: cap[s] for s in stopped}
+        left -= sum(cap[s] for s in stopped)
+        free = [s for s in free if s not in stopped]
+    target |= {s: left * weight[s] / sum(weight[x] for x in free) for s in free}
+    copies = {}
+    for s in names:
+        at, mine = 0, sorted(by_source[s])
+        for _, i, n in mine:
+            copies[i] = sum(k * total[s] + at + n / 2 < target[s] for k in range(3)) if n else 0
+            at += n
+        over = sum(copies[i] * n for _, i, n in mine) - target[s]
+        may = [(abs(abs(over) - n), d, i) for d, i, n in mine if n and (copies[i] > 0 if over > 0 else copies[i] < 3) and abs(abs(over) - n) < abs(over)]
+        if may:
+            copies[min(may)[2]] += -1 if over > 0 else 1
+    return copies
+
+
+def test_pipeline_row_by_row(spark, sf):
+    import tiktoken
+
+    import corpus_pipeline
+
+    good = corpus_pipeline.keep_good(spark, spark.read.parquet(f"{sf}/documents.parquet"), sf).select("doc_id", "text", "source").collect()
+    first = {}
+    for i, t, _ in sorted(good, key=lambda r: r["doc_id"]):
+        first.setdefault(lower(t), i)
+    unique = [tuple(r) for r in good if first[lower(r["text"])] == r["doc_id"]]
+    links = brute_links([r[:2] for r in unique], 5)
+    stay = [r for r in unique if links[r[0]][1] == r[0]]
+    lib = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.load_ranks(public_tokenizers.path(VOCABULARY)), special_tokens={})
+    want, copies = Counter(), brute_mix(stay)
+    for i, t, _ in stay:
+        ids = lib.encode_ordinary(t or "")
+        want[i, len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest(), tuple(ids)] = copies[i]
+    got = Counter((r["doc_id"], r["n_tokens"], r["ids_sha256"], r["decoded_sha256"], tuple(r["ids"])) for r in corpus_pipeline.run(spark, sf).collect())
+    assert got == +want and len(got) > 10
+
+
 def test_html_deep_and_broken_pages_take_linear_work():
     deep = "<div class=a>" * 20_000 + "deep text" + "</div>" * 20_000
     assert html_text.extract(deep, html_text.best_path(deep)[0]) == "deep text"
