@@ -1,19 +1,31 @@
 """Byte-level BPE with DuckDB's recursive queries.
 
 Every partition splits its texts with the vocabulary's pattern and keeps the distinct words it has
-not met.  One recursive query encodes a batch of them: a row for each token position, joined to the
-merge table with its right neighbour; each step contracts every word's leftmost pair of minimum rank
-and a word leaves the recursion when no pair of its is left.  Ordered aggregation gives a word's ids
-and, from the ids, its bytes again.
+not met.  One recursive query encodes a batch of them: a word's tokens are unnested to a row for each
+position, joined to the merge table with their right neighbours; each step contracts every word's
+leftmost pair of minimum rank, and a word leaves the recursion when no pair of its is left.  Ordered
+aggregation gives a word's ids and, from the ids, its bytes again.
+
+The recursion is keyed by word, so that it holds one state of each word and only those that changed in
+a step go on.  In a state a token is one character (BASE and its id).  A step contracts all places of
+the leftmost pair of minimum rank at once, as one by one would do, unless one place can stand in the way
+of the next: the new token would go before with the next one's first (alone), or another pair of the same rank,
+somewhere in the word, can share a token with this one (meets).  If a pair of lower rank turns up after it, the
+step is taken back and only its leftmost place contracted.  So a run of one character takes steps by the logarithm of its length.
+
+A word is cut before the query where no token of the vocabulary that stands in it reaches across: no
+contraction ever joins both sides there, so the pieces' tokens are the word's.  Long unspaced texts fall into
+short pieces by this.  Batches hold BATCH_BYTES of pieces, or one longer piece, for which the query's
+memory is raised in proportion.
 
 Words that are whole tokens take the token, as the public library does.  Results for words are kept
 between batches in two generations of bounded size, so memory doesn't follow the vocabulary of the
-corpus.  Words of more than LONG_BYTES bytes would make the recursion's rows grow with the square of
-their length; they are contracted one by one in the same order by a heap.
+corpus; those of words over KEPT_LENGTH bytes are only kept for their batch.
 
 Defined results: null text counts as empty and gives no ids, the digest of nothing, and empty bytes;
-lone surrogates can't occur in Spark strings; repeated rows give repeated rows; other columns of the
-input are not looked at.
+very long texts and words are encoded whole; lone surrogates can't occur in Spark strings; repeated rows
+give repeated rows; an empty table gives none; other columns of the input, whatever their names, are
+not looked at.
 """
 
 from __future__ import annotations
@@ -21,42 +33,52 @@ from __future__ import annotations
 import base64
 import gc
 import hashlib
-import heapq
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import take_over, text_or_empty
 
-LONG_BYTES = 512
 #: Texts are encoded in groups of about so many characters.
 GROUP_CHARS = 1_500_000
 AWKWARD = re.compile(r" \s| $").search
-#: Words encoded by one recursive query, and words kept in each of two generations.
-BATCH_WORDS, KEPT_WORDS = 30_000, 220_000
-
-STEP = """
-with recursive state(w, tokens, live) as (
-    select w, list(t order by p), true from start group by w
+#: Bytes encoded by one recursive query, and words kept in each of two generations.
+BATCH_BYTES, KEPT_WORDS = 300_000, 220_000
+#: Longer words are looked through for places to cut, and still longer ones forgotten after their batch.
+CUT_LENGTH, KEPT_LENGTH = 32, 1024
+#: Memory of a query, and what each byte of a batch beyond BATCH_BYTES adds to it.
+QUERY_MB, MORE_BYTES = 250, 1000
+#: The character of token id is BASE + id: no combining ones and no surrogates from here on.
+BASE = 0x20000
+LAST = 2**31
+
+STEP = f"""
+with recursive state(w, s, last, one) using key (w) as (
+    select w, s, -1, '' from start
     union all
-    select s.w, case when b.w is null then s.tokens else s.tokens[:b.spot - 1] || [b.merged] || s.tokens[b.spot + 2:] end, b.w is not null
-    from state s left join (
-        select w, min(pair) as best, best & 4294967295 as spot, (best >> 32)::int as merged
-        from (
-            select a.w, (m.rank::bigint << 32) | a.spot as pair
-            from (select w, unnest(tokens[:-2]) as left_t, unnest(tokens[2:]) as right_t, unnest(range(1, len(tokens))) as spot from state where live) a
-            join merges m on m.pair = (a.left_t::bigint << 32) | a.right_t
-        )
-        group by w
-    ) b on s.w = b.w
-    where s.live
+    select
+        w, case when rank < last then one when single then cut else replace(s, pair, chr(rank + {BASE})) end,
+        case when rank < last or single then -1 else rank end, cut
+    from (
+        select *, flags = 1 or flags = 2 and low & 4294967295 <> {LAST} - (high & 4294967295) as single, left(s, spot) || chr(rank + {BASE}) || substr(s, spot + 3) as cut, substr(s, spot + 1, 2) as pair
+        from state join (
+            select
+                a.w, min(m.key | a.spot) as best, (best >> 34)::int as rank, best & {LAST} - 1 as spot, best >> 32 & 3 as flags, min(m.low) as low, min(m.high) as high
+            from (
+                select w, unnest(c[:-2]) || unnest(c[2:]) as pair, unnest(range(len(c) - 1)) as spot
+                from (select w, string_split(s, '') as c from state)
+            ) a join merges m on m.pair = a.pair
+            group by a.w
+        ) using (w)
+    )
 ),
-positions as (select w, unnest(tokens) as t, unnest(range(len(tokens))) as p from state where not live)
-select w, encode(string_agg(x.t::varchar, ',' order by x.p)) as ids, unhex(string_agg(v.hex, '' order by x.p)) as decoded
-from positions x join vocabulary v on v.id = x.t
+positions as (select w, unnest(string_split(s, '')) as t, unnest(range(length(s))) as p from state)
+select w, encode(string_agg(v.id::varchar, ',' order by x.p)) as ids, unhex(string_agg(v.hex, '' order by x.p)) as decoded
+from positions x join vocabulary v on v.token = x.t
 group by w
 """
 
@@ -70,23 +92,32 @@ class Encoder:
     """Ids and decoded bytes of words, by a DuckDB connection of its own."""
 
     def __init__(self, path: str, pattern: str) -> None:
+        import ahocorasick
         import duckdb
         import regex
 
         self.ranks = load_ranks(path)
-        self.byte = [self.ranks[bytes([b])] for b in range(256)]
         self.tokens = {r: t for t, r in self.ranks.items()}
+        self.start = {b: chr(BASE + self.ranks[bytes([b])]) for b in range(256)}
         self.split = regex.compile(pattern).findall
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "250MB"})
+        self.within = ahocorasick.Automaton()
+        for token in self.ranks:
+            if len(token) > 1:
+                self.within.add_word(token.decode("latin-1"), len(token))
+        self.within.make_automaton()
+        self.db = duckdb.connect(config={"threads": 1})
         self.db.execute("set temp_directory=''")
-        left, right, rank = [], [], []
+        pair, rank, flags = [], [], []
         for token, r in self.ranks.items():
-            for i in range(1, len(token)):
-                a, b = self.ranks.get(token[:i]), self.ranks.get(token[i:])
-                if a is not None and b is not None:
-                    left.append(a), right.append(b), rank.append(r)
-        self._table("merges", pair=pa.array([a << 32 | b for a, b in zip(left, right)], pa.int64()), rank=pa.array(rank, pa.int32()))
-        self._table("vocabulary", id=pa.array(list(self.tokens), pa.int32()), hex=pa.array([t.hex() for t in self.tokens.values()]))
+            parts = [(token[:i], token[i:]) for i in range(1, len(token)) if token[:i] in self.ranks and token[i:] in self.ranks]
+            for a, b in parts:
+                pair.append(chr(BASE + self.ranks[a]) + chr(BASE + self.ranks[b]))
+                rank.append(r)
+                alone, meets = self.ranks.get(token + a, r) < r, any((x, y) != (a, b) and (y == a or x == b) for x, y in parts)
+                flags.append(1 if alone else 2 if meets else 0)
+        ids, rank = np.arange(len(pair)), np.array(rank, np.int64)
+        self._table("merges", pair=pa.array(pair), key=rank << 34 | np.array(flags, np.int64) << 32, low=rank << 32 | ids, high=rank << 32 | LAST - ids)
+        self._table("vocabulary", token=pa.array([chr(BASE + r) for r in self.tokens]), id=pa.array(list(self.tokens), pa.int32()), hex=pa.array([t.hex() for t in self.tokens.values()]))
         self.new: dict[str, tuple[bytes, bytes]] = {}
         self.old: dict[str, tuple[bytes, bytes]] = {}
 
@@ -94,61 +125,45 @@ class Encoder:
         given = pa.table(columns)  # noqa: F841  found by name
         self.db.execute(f"create or replace table {name} as select * from given")
 
-    def _heap(self, word: bytes) -> tuple[bytes, bytes]:
-        """The same contraction for one long word: always the leftmost pair of minimum rank."""
-        n = len(word)
-        parts: list[bytes | None] = [word[i : i + 1] for i in range(n)]
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        pair = lambda i: self.ranks.get(parts[i] + parts[after[i]]) if after[i] < n else None
-        heap = [(r, i, 2) for i in range(n - 1) if (r := pair(i)) is not None]
-        heapq.heapify(heap)
-        while heap:
-            r, i, size = heapq.heappop(heap)
-            if parts[i] is None or after[i] >= n or len(parts[i]) + len(parts[after[i]]) != size or pair(i) != r:
-                continue
-            j = after[i]
-            parts[i], parts[j], after[i] = parts[i] + parts[j], None, after[j]
-            if after[i] < n:
-                before[after[i]] = i
-            for k in (before[i], i):
-                if k >= 0 and after[k] < n and (q := pair(k)) is not None:
-                    heapq.heappush(heap, (q, k, len(parts[k]) + len(parts[after[k]])))
-        ids = [self.ranks[x] for x in parts if x is not None]
-        return ",".join(map(str, ids)).encode(), b"".join(self.tokens[i] for i in ids)
+    def pieces(self, raw: bytes) -> list[bytes]:
+        """raw cut wherever no token that stands in it reaches across."""
+        if len(raw) <= CUT_LENGTH:
+            return [raw]
+        found = np.array([(end, n) for end, n in self.within.iter(raw.decode("latin-1"))], np.int64).reshape(-1, 2)
+        size = len(raw) + 1
+        # A token in [i, j] reaches across the places i+1..j; place k stands before byte k.
+        change = np.bincount(found[:, 0] - found[:, 1] + 2, minlength=size + 1) - np.bincount(found[:, 0] + 1, minlength=size + 1)
+        free = np.flatnonzero(np.cumsum(change)[1 : len(raw)] == 0) + 1
+        ends = [0, *free.tolist(), len(raw)]
+        return [raw[a:b] for a, b in zip(ends, ends[1:])]
 
     def learn(self, words: list[str]) -> None:
         """Encodes words that are not known and keeps the results."""
-        batch: list[str] = []
-        starts: list[bytes] = []
+        cut: dict[str, list[bytes]] = {}
         for word in words:
             raw = word.encode()
             if (r := self.ranks.get(raw)) is not None:
                 self.new[word] = (b"%d" % r, self.tokens[r])
-            elif len(raw) > LONG_BYTES:
-                self.new[word] = self._heap(raw)
             else:
-                batch.append(word)
-                starts.append(raw)
-                if len(batch) == BATCH_WORDS:
-                    self._query(batch, starts)
-                    batch, starts = [], []
+                cut[word] = self.pieces(raw)
+        batch, size = [], 0
+        done: dict[bytes, tuple[bytes, bytes]] = {}
+        for piece in dict.fromkeys(x for xs in cut.values() for x in xs):
+            if batch and size + len(piece) > BATCH_BYTES:
+                done.update(self._query(batch, size))
+                batch, size = [], 0
+            batch.append(piece)
+            size += len(piece)
         if batch:
-            self._query(batch, starts)
-
-    def _query(self, words: list[str], raw: list[bytes]) -> None:
-        import numpy as np
-
-        lengths = np.fromiter(map(len, raw), np.int64, len(raw))
-        whole = np.frombuffer(b"".join(raw), np.uint8)
-        ends = np.cumsum(lengths)
-        start = pa.table({  # noqa: F841  found by name
-            "w": np.repeat(np.arange(len(raw), dtype=np.int32), lengths),
-            "p": (np.arange(len(whole)) - np.repeat(ends - lengths, lengths)).astype(np.int32),
-            "t": np.array(self.byte, np.int32)[whole],
-        })
+            done.update(self._query(batch, size))
+        for word, xs in cut.items():
+            self.new[word] = done[xs[0]] if len(xs) == 1 else (b",".join([done[x][0] for x in xs]), b"".join([done[x][1] for x in xs]))
+
+    def _query(self, pieces: list[bytes], size: int) -> Iterator[tuple[bytes, tuple[bytes, bytes]]]:
+        self.db.execute(f"set memory_limit='{QUERY_MB + max(0, size - BATCH_BYTES) * MORE_BYTES // 1_000_000}MB'")
+        start = pa.table({"w": pa.array(range(len(pieces)), pa.int32()), "s": pa.array([x.decode("latin-1").translate(self.start) for x in pieces])})  # noqa: F841  found by name
         out = self.db.sql(STEP).to_arrow_table()
-        for w, *pair in zip(*(out.column(c).to_pylist() for c in ("w", "ids", "decoded"))):
-            self.new[words[w]] = tuple(pair)
+        return ((pieces[w], (ids, decoded)) for w, ids, decoded in zip(*(out.column(c).to_pylist() for c in ("w", "ids", "decoded"))))
 
     def _missing(self, words: set[str]) -> list[str]:
         """Those of words with no result yet; results of the older generation are taken over."""
@@ -197,6 +212,8 @@ class Encoder:
             parts = [known[w] for w in ws]
             ids = b",".join([p[0] for p in parts])
             out.append((ids.count(b",") + bool(ids), ids, b"".join([p[1] for p in parts])))
+        for x in [x for x in {*unknown, *(w for ws in unknown.values() for w in ws)} if len(x) > KEPT_LENGTH]:
+            known.pop(x, None)
         return out
 
 
@@ -214,7 +231,6 @@ def forget() -> None:
     for e in _ENCODERS.values():
         e.db.close()
     _ENCODERS.clear()
-    gc.enable()
 
 
 def groups(texts: list[str], most: int = GROUP_CHARS) -> Iterator[tuple[int, int]]:
@@ -233,9 +249,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "do
     """doc_id, n_tokens, ids_sha256, decoded_sha256, and with ids the token ids themselves, for every row of docs."""
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        take_over("bpe", forget)
-        gc.disable()  # hundreds of thousands of small results and no cycles among them
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(path, pattern)
         for batch in batches:
             doc_ids, column = batch.column("doc_id"), batch.column("text")
@@ -255,4 +269,14 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "do
                         names.append("ids")
                     yield pa.RecordBatch.from_arrays(columns, names)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        take_over("bpe", forget)
+        collects = gc.isenabled()
+        gc.disable()  # hundreds of thousands of small results and no cycles among them
+        try:
+            yield from encoded(batches)
+        finally:
+            if collects:
+                gc.enable()
+
     return slim.mapInArrow(run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if ids else ""))

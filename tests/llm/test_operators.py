@@ -164,6 +164,23 @@ def test_bpe(spark, odd, none):
     assert len(rows) == len(texts) and bpe.encode_documents(none, path, public_tokenizers.PATTERN).count() == 0
 
 
+def test_bpe_of_long_words():
+    import tiktoken
+
+    path = public_tokenizers.path(VOCABULARY)
+    lib = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.load_ranks(path), special_tokens={})
+    r = random.Random(3)
+    signs = [chr(r.randrange(0x4E00, 0x9FA5)) for _ in range(3000)]
+    texts = [" ".join("".join(r.choices(signs, k=150)) for _ in range(10_000)), "".join(r.choices(signs, k=100_000)), "x" * 300_000, "aab" * 30_000 + "abb" * 30_000, "=" * 300_001]
+    texts += ["".join(r.choices("etaoinshrdlu", k=n)) for n in (31, 32, 33, 511, 512, 513, 60_000)]
+    texts += ["".join(r.choices(("ab", "abc ", "aAbB12 ,.'\n", "etaoin shrdlu\u00e9\u4e2d\u0430\u0431 ")[k % 4], k=r.randrange(200))) for k in range(2000)]
+    e = bpe.Encoder(path, public_tokenizers.PATTERN)
+    for text, (n, ids, decoded) in zip(texts, e.encode(texts), strict=True):
+        want = lib.encode_ordinary(text)
+        assert (n, ids, decoded) == (len(want), ",".join(map(str, want)).encode(), text.encode())
+    assert max(map(len, e.new)) <= bpe.KEPT_LENGTH
+
+
 def test_statistics(spark, odd):
     texts = ["a b c d e f g h i a b c d e f g h j", "x\nx\n\n \ny #$", "a " * 50, "", None, "one two three four five six seven eight " * 2 + "tail"]
     d = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
