@@ -10,14 +10,17 @@ from collections.abc import Callable
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 #: The white space of all word rules here: space and U+0009 to U+000D.
 WHITE = r"[\x20\x09-\x0D]"
 
-#: Tables of at most so many rows may be broadcast; larger ones go through a shuffle join.
-BROADCAST_ROWS = 1_000_000
+#: Tables of at most so many rows and bytes may be broadcast; larger ones go through a shuffle join.
+BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 64 << 20
+#: Parts into which a hot key's rows are dealt.
+SALTS = 16
 
 
 #: What frees the memory that a Python worker keeps for an operator between tasks, by operator.
@@ -78,13 +81,26 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def bounded(df: DataFrame, rows: int | None = None, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """df with a broadcast hint if its counted rows are within limit, else df as it is.
+def few(df: DataFrame) -> bool:
+    """Whether df's counted rows and bytes are within the limits of a broadcast.  Callers pass cut() frames, so the count is cheap."""
+    held = [F.octet_length(f.name) for f in df.schema if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    held += [F.size(f.name) * 8 for f in df.schema if isinstance(f.dataType, T.ArrayType)]
+    size = sum((F.coalesce(F.sum(x), F.lit(0)) for x in held), F.lit(0))
+    n, more = df.agg(F.count("*"), size).first()
+    return n <= BROADCAST_ROWS and more + 16 * n * len(df.columns) <= BROADCAST_BYTES
 
-    Callers pass cut() frames or give rows, so the count is cheap.
-    """
-    n = df.count() if rows is None else rows
-    return F.broadcast(df) if n <= limit else df
+
+def bounded(df: DataFrame) -> DataFrame:
+    """df with a broadcast hint if it is few, else df as it is."""
+    return F.broadcast(df) if few(df) else df
+
+
+def join_few(rows: DataFrame, of: DataFrame, key: Column, of_key: Column, spread: Column) -> DataFrame:
+    """rows left join of (one row a key): by broadcast if of is few, else salted by spread (0 to SALTS - 1), so that a hot key's rows are dealt to many tasks."""
+    if few(of):
+        return rows.join(F.broadcast(of), key == of_key, "left")
+    of = of.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("__spread", spread).join(of, (key == of_key) & (F.col("__spread") == F.col("__salt")), "left").drop("__salt", "__spread")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -7,8 +7,8 @@ tags and classes is the page's vote.  Votes are summed by host and path in Spark
 weight wins its host, and every page is extracted again from its elements on that path.
 
 A page whose elements on the winning path are worth less than half of its best container is of another
-layout if it has a container worth more than twice as much on another path that two or more pages of the
-host voted for: that path is taken.  It uses its own best container if that is an article or main
+layout if it has a container worth more than twice as much on one of the host's LAYOUTS next paths that two
+or more pages voted for: that path is taken.  It uses its own best container if that is an article or main
 element, and if it has no text on the path.
 
 Left out everywhere: scripts, styles, navigation, headers and footers, asides, forms, embedded
@@ -29,16 +29,14 @@ from __future__ import annotations
 import hashlib
 import html as entities
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Collection, Iterator
 from dataclasses import dataclass
-from functools import partial
 
-import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bounded, cut
+from .common import SALTS, cut, join_few
 from .url_filter import host_of
 
 # Elements without end tags; elements whose content is raw; elements left out; blocks; containers.
@@ -55,12 +53,22 @@ PART = r"area|articles?|bar|block|bottom|box|button|buttons|column|container|con
 NAME = re.compile(rf"(?:(?:{PLACE})[_-]+)*(?:{MARK})(?:[_-]+(?:{MARK}|{PART}))*", re.I)
 OF_COMMENTS = re.compile(rf"(?:(?:{PLACE})[_-]+)*(?:{COMMENTS})(?:[_-]+(?:{MARK}|{PART}))*", re.I)
 NEVER_MARKED = frozenset("body html article main h1 h2 h3 h4 h5 h6".split())
-TAG = re.compile(r"<(?:!--.*?(?:-->|$)|[!?][^>]*(?:>|$)|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*)(?:>|$))", re.S)
-ATTRIBUTE = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+# A quote opens a quoted value only right after "=".
+IN_TAG = r"(?:[^>=]++|=\s*+(?:\"[^\"]*+(?:\"|$)|'[^']*+(?:'|$))|=)*+"
+TAG = re.compile(rf"<(?:!--.*?(?:-->|$)|[!?][^>]*(?:>|$)|(/?)([a-zA-Z][^\s/>]*)({IN_TAG})(?:>|$))", re.S)
+ATTRIBUTE = re.compile(r"([^\s/=>]+)(?:\s*=\s*(?:\"([^\"]*)(?:\"|$)|'([^']*)(?:'|$)|([^\s>]*)))?")
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Names of headers, which keep an article's own heading.
+OF_HEADER = re.compile(rf"(?:(?:{PLACE})[_-]+)*(?:header|masthead)(?:[_-]+(?:{PART}))*", re.I)
+#: Character references by number whose leading zeros or further digits would be much work.
+LONG_NUMBER = re.compile(r"&#0*+([0-9]{8,})|&#0{2,}+(?=[0-9])")
 CLOSES = {"li": {"li"}, "p": {"p"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"tr", "td", "th"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}}
 CLOSES |= {x: {"p"} for x in "address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol pre section table ul".split()}
 STOPS = frozenset("article section div td th body main ul ol table blockquote".split())
-PATH_CHARS = 1000
+#: The longest path and step; what is longer is named by its digest.
+PATH_CHARS, STEP_CHARS = 1000, 200
+#: Layouts of a host besides the winning one.
+LAYOUTS = 16
 
 
 @dataclass
@@ -71,6 +79,7 @@ class Node:
     dropped: bool
     marked: bool = False
     comments: bool = False
+    header: bool = False
     chars: int = 0
     worth: int = 0
     order: int = 0
@@ -80,9 +89,32 @@ class Node:
     inside: bool = False
 
 
-def _path(above: str, step: str) -> str:
+def _digest(text: str) -> str:
+    return hashlib.blake2b(text.encode(), digest_size=16).hexdigest()
+
+
+def _path(above: str, tag: str, classes: set[str]) -> str:
+    """The path of an element with these classes, their digits generalised, under the path above."""
+    step = tag + "".join("." + c for c in sorted(classes))
+    step = step if len(step) <= STEP_CHARS else "#" + _digest(step)
     path = f"{above}>{step}" if above else step
-    return path if len(path) <= PATH_CHARS else f"{hashlib.blake2b(above.encode(), digest_size=16).hexdigest()}>{step[:PATH_CHARS // 2]}"
+    return path if len(path) <= PATH_CHARS else f"#{_digest(above)}>{step}"
+
+
+def _attributes(given: str) -> dict[str, str]:
+    """class, id and role of a tag; the first of each counts."""
+    out: dict[str, str] = {}
+    for name, *values in ATTRIBUTE.findall(given) if "=" in given else ():
+        if (name := name.lower()) in ("class", "id", "role"):
+            out.setdefault(name, "".join(values))
+    return out
+
+
+def unescape(text: str) -> str:
+    """text with its character references decoded."""
+    if "&#0" in text or "&#" in text and LONG_NUMBER.search(text):
+        text = LONG_NUMBER.sub(lambda m: "&#1114112" if m.group(1) else "&#", text)  # beyond the last code point
+    return entities.unescape(text)
 
 
 def _parse(page: str) -> tuple[list[Node], list[tuple[Node, str | None]]]:
@@ -110,7 +142,7 @@ def _parse(page: str) -> tuple[list[Node], list[tuple[Node, str | None]]]:
         m = TAG.search(page, pos)
         text = page[pos : m.start()] if m else page[pos:]
         if text and not at.dropped:
-            stream.append((at, entities.unescape(text)))
+            stream.append((at, unescape(text)))
         if m is None:
             break
         pos = m.end()
@@ -133,15 +165,13 @@ def _parse(page: str) -> tuple[list[Node], list[tuple[Node, str | None]]]:
             stream.append((at, None))
         if tag in VOID or attributes.endswith("/"):
             continue
-        names = " ".join(a or b or c for _, a, b, c in ATTRIBUTE.findall(attributes)) if "=" in attributes else ""
-        cls = next((re.sub(r"\d+", "N", (a or b or c)).split() for k, a, b, c in ATTRIBUTE.findall(attributes) if k.lower() == "class"), []) if names else []
-        step = tag + "".join("." + c for c in sorted(set(cls))[:3])
-        child = Node(tag, _path(at.path, step), at, at.dropped or tag in LEFT_OUT, order=len(nodes), depth=at.depth + 1)
-        child.wide = tag in ("article", "main") or "role" in attributes and "main" in names.split()
+        has = _attributes(attributes)
+        child = Node(tag, _path(at.path, tag, set(re.sub(r"\d+", "N", has.get("class", "")).split())), at, at.dropped or tag in LEFT_OUT, order=len(nodes), depth=at.depth + 1)
+        child.wide = tag in ("article", "main") or has.get("role") == "main"
         child.container = tag in CONTAINERS
-        if names and tag not in NEVER_MARKED and not child.wide:
-            marks = [x for x in names.split() if NAME.fullmatch(x)]
-            child.marked, child.comments = bool(marks), any(map(OF_COMMENTS.fullmatch, marks))
+        if has and tag not in NEVER_MARKED and not child.wide:
+            marks = [x for x in " ".join(has.values()).split() if NAME.fullmatch(x)]
+            child.marked, child.comments, child.header = bool(marks), any(map(OF_COMMENTS.fullmatch, marks)), all(map(OF_HEADER.fullmatch, marks))
         if tag in RAW:
             over = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|$)", re.I).search(page, pos)
             pos = over.start() if over else len(page)
@@ -158,18 +188,22 @@ def _parse(page: str) -> tuple[list[Node], list[tuple[Node, str | None]]]:
 
 
 def _drop_marked(nodes: list[Node], stream: list[tuple[Node, str | None]]) -> None:
-    """Drops marked elements and all in them, but for one with more than half of the text outside comments."""
+    """Drops marked elements and all in them, but for one with more than half of the text outside comments and an article's header with its heading."""
     if any(n.marked for n in nodes):
-        within = [False] * len(nodes)
-        held = [0] * len(nodes)
+        within, wide = [False] * len(nodes), [False] * len(nodes)
+        held, headed = [0] * len(nodes), [n.tag in HEADINGS for n in nodes]
         for n in nodes[1:]:
             within[n.order] = n.comments or within[n.parent.order]
+            wide[n.order] = n.wide or wide[n.parent.order]
+        for n in reversed(nodes[1:]):
+            headed[n.parent.order] |= headed[n.order]
         for n, text in stream:
             if text is not None and not within[n.order]:
                 held[n.order] += len("".join(text.split()))
         total = sum(held)
         for n in reversed(nodes[1:]):
-            if n.marked and (n.comments or 2 * held[n.order] <= total):
+            own = n.header and wide[n.order] and headed[n.order]
+            if n.marked and not own and (n.comments or 2 * held[n.order] <= total):
                 n.dropped = True
             else:
                 held[n.parent.order] += held[n.order]
@@ -213,12 +247,12 @@ def best_path(html: str) -> tuple[str | None, int]:
     return (best.path, best.worth) if best is not None and best.chars else (None, 0)
 
 
-def _key(host: str, path: str) -> int:
-    return int(hashlib.md5(f"{host}\n{path}".encode()).hexdigest()[:15], 16)
+def _key(path: str) -> int:
+    return int(hashlib.md5(path.encode()).hexdigest()[:15], 16)
 
 
-def extract(html: str, path: str | None, layout: Callable[[str], bool] = lambda _: False) -> str:
-    """The text of the page's elements on path or that of its own layout; layout: whether other pages of the host voted for a path."""
+def extract(html: str, path: str | None, layouts: Collection[int] = ()) -> str:
+    """The text of the page's elements on path or that of its own layout; layouts: keys of the host's other ones."""
     nodes, stream = _parse(html)
     _score(nodes, stream)
     best = _best(nodes)
@@ -239,7 +273,7 @@ def extract(html: str, path: str | None, layout: Callable[[str], bool] = lambda
     chars, worth = take([n for n in nodes if n.container and n.path == path])
     if not chars or best is not None and 2 * worth < best.worth:
         fitting = {n.path for n in nodes if n.container and n.worth > 2 * worth and n.path != path}
-        other = max((n for n in nodes if n.container and n.path in fitting and layout(n.path)), key=lambda n: (n.worth, n.depth, -n.order), default=None) if fitting and not (best and best.wide) else None
+        other = max((n for n in nodes if n.container and n.path in fitting and _key(n.path) in layouts), key=lambda n: (n.worth, n.depth, -n.order), default=None) if fitting and layouts and not (best and best.wide) else None
         if other is not None:
             take([n for n in nodes if n.container and n.path == other.path])
         elif not chars or best.wide:
@@ -247,6 +281,22 @@ def extract(html: str, path: str | None, layout: Callable[[str], bool] = lambda
     return " ".join("".join(" " if t is None else t for n, t in stream if t is None or n.inside).split())
 
 
+def _winners(totals: DataFrame) -> DataFrame:
+    """of_host, path (most weight), layouts: keys of the LAYOUTS next paths that two pages or more voted for.
+
+    The first places are found in parts of a host's paths, so that no task sorts all of a host with many.
+    """
+    key = F.conv(F.substring(F.md5(F.col("path").cast("binary")), 1, 15), 16, 10).cast("long")
+    rows = totals.withColumn("part", F.pmod(F.xxhash64("path"), F.lit(SALTS)).cast("int"))
+    for keys in (("host", "part"), ("host",)):
+        place = Window.partitionBy(*keys).orderBy(F.col("weight").desc(), F.col("path").desc())
+        rows = rows.withColumn("place", F.row_number().over(place)).where(F.col("place") <= LAYOUTS + 1)
+    first = F.col("place") == 1
+    return rows.groupBy(F.col("host").alias("of_host")).agg(
+        F.max(F.when(first, F.col("path"))).alias("path"), F.collect_list(F.when(~first & (F.col("pages") > 1), key)).alias("layouts")
+    )
+
+
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """page_id, url, text, n_chars for every row of pages."""
     url = F.col(url_col).cast("string")
@@ -267,23 +317,15 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
 
     votes = slim.select("host", "html").mapInArrow(vote, "host string, path string, weight bigint, pages bigint")
     totals = cut(votes.groupBy("host", "path").agg(F.sum("weight").alias("weight"), F.sum("pages").alias("pages")))
-    won = cut(totals.groupBy("host").agg(F.max(F.struct("weight", "path"))["path"].alias("path")).withColumnRenamed("host", "of_host"))
-    joined = slim.join(bounded(won), F.col("host") == F.col("of_host"), "left")
-    joined = joined.select("page_id", "url", "html", "path", "host")
-    others = totals.where(F.col("pages") > 1).select(F.col("host").alias("of_host"), "path").join(won, ["of_host", "path"], "left_anti")
-    key = F.conv(F.substring(F.md5(F.concat_ws("\n", "of_host", "path").cast("binary")), 1, 15), 16, 10).cast("long")
-    # Eight bytes for each layout of a host besides its first.
-    keys = pages.sparkSession.sparkContext.broadcast(np.sort(others.select(key.alias("key")).toArrow().column("key").to_numpy()))
-
-    def voted(host: str, path: str) -> bool:
-        k, at = _key(host, path), keys.value
-        return len(at) > 0 and bool(at[min(np.searchsorted(at, k), len(at) - 1)] == k)
+    won = cut(_winners(totals))
+    spread = F.pmod(F.xxhash64("page_id", F.length("html")), F.lit(SALTS)).cast("int")
+    joined = join_few(slim, won, F.col("host"), F.col("of_host"), spread).select("page_id", "url", "html", "path", "layouts")
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(0, b.num_rows, 500):
                 part = b.slice(i, 500)
-                texts = [extract(h, p, partial(voted, host)) for h, p, host in zip(*(part.column(c).to_pylist() for c in ("html", "path", "host")))]
+                texts = [extract(h, p, x or ()) for h, p, x in zip(*(part.column(c).to_pylist() for c in ("html", "path", "layouts")))]
                 yield pa.RecordBatch.from_arrays([part.column("page_id"), part.column("url"), pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())], ["page_id", "url", "text", "n_chars"])
 
     return joined.mapInArrow(take, joined.select("page_id", "url").schema.add("text", "string").add("n_chars", "long"))

@@ -18,14 +18,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, bounded, cut
+from .common import SALTS, ascii_lower, bounded, cut, join_few
 
 #: The rules of the query's contract.
 RULES = {"com/": "allow", "example.com/en/": "block", "www.example.com/en/": "allow", "net/es/": "block", "net/fr/": "block"}
 #: Public suffixes of two labels; all others are taken to have one.
 TWO_LABELS = ("co.uk", "org.uk", "ac.uk", "gov.uk", "com.au", "net.au", "org.au", "co.jp", "or.jp", "co.nz", "com.br", "co.in", "com.cn", "co.za", "co.kr")
 THRESHOLD, BOUND_Z = 0.5, 1.64
-SALTS = 16
 
 
 def host_of(url: Column) -> Column:
@@ -118,12 +117,6 @@ def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules
     if labels is not None:
         own = p.select("host", F.lit(None).cast("int").alias("bad")).unionByName(labels.select(ascii_lower(F.col("host")).alias("host"), F.col("bad").cast("int")))
     hosts = cut(reputation(own).select(F.col("host").alias("of"), "rate", "lower"))
-    small = bounded(hosts)
-    if small is hosts:  # too many hosts to broadcast: salted, so that a hot host's pages are spread
-        hosts = hosts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        p = p.withColumn("salt_of", F.pmod(F.xxhash64("page_id", "path"), F.lit(SALTS)).cast("int"))
-        joined = p.join(hosts, (F.col("host") == F.col("of")) & (F.col("salt_of") == F.col("salt")), "left")
-    else:
-        joined = p.join(small, F.col("host") == F.col("of"), "left")
+    joined = join_few(p, hosts, F.col("host"), F.col("of"), F.pmod(F.xxhash64("page_id", "path"), F.lit(SALTS)).cast("int"))
     method = F.when(F.coalesce(F.col("lower") > F.lit(threshold), F.lit(False)), "block").otherwise("allow")
     return joined.select("page_id", "host", "path", "rule", F.coalesce("said", method).alias("verdict"), F.col("rate").alias("host_rate"), F.col("lower").alias("host_lower"))

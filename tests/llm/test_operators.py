@@ -142,6 +142,15 @@ def test_url_filter(spark):
     assert url_filter.judge(spark.createDataFrame([], "page_id long, url string")).count() == 0
 
 
+def test_url_filter_of_repeated_rows_and_clashing_columns(spark, monkeypatch):
+    urls = ["http://a.net/es/", "http://a.net/x", "http://a.net/es/", None, None, "http://b.com/"] * 5
+    pages = spark.createDataFrame([(k % 7, u, "h", k, 0.5) for k, u in enumerate(urls)], "page_id long, url string, host string, rule long, rate double")
+    rows = sorted(map(str, url_filter.judge(pages).collect()))
+    assert len(rows) == len(urls) and sum("rule='net/es/'" in r for r in rows) == 10
+    monkeypatch.setattr("quillstone.llm.common.BROADCAST_ROWS", 0)
+    assert sorted(map(str, url_filter.judge(pages).collect())) == rows
+
+
 def test_reputation_needs_evidence(spark):
     labels = spark.createDataFrame([("bad.org", 1)] * 40 + [("good.org", 0)] * 40 + [("one.com", 1)], "host string, bad int")
     pages = spark.createDataFrame([(k, f"http://{h}/") for k, h in enumerate(("bad.org", "good.org", "new.example"))], "page_id long, url string")
@@ -370,6 +379,28 @@ def test_pipeline_row_by_row(spark, sf):
     assert got == +want and len(got) > 10
 
 
+def test_html_numbers_quotes_and_headers():
+    get = lambda page: html_text.extract(page, html_text.best_path(page)[0])
+    digits = "9" * 5000
+    assert get(f"<article>a &#{digits}; b &#{'0' * 5000}65; c &#x{digits}; &#65 &#1114111</article>") == "a \ufffd b A c \ufffd A" and get("<p>&#38;#</p>") == "&#"
+    assert get("<p class=don't>Hello there</p><p title='a>b' id=x>more</p><p data-class=ad>kept</p><p title='class=ad'>too</p>") == "Hello there more kept too"
+    assert get("<article><div class='entry-header'><h1>Title</h1></div><p>" + "text " * 9 + "</p><div class='entry-header'>gone</div></article>") == "Title" + " text" * 9
+    assert get("<div class='page-header'><h1>Site</h1></div><div class=post>" + "text " * 9 + "</div>") == "text" + " text" * 8
+    long = "x" * 600
+    paths = {html_text.best_path(f"<div class='{c}'>text</div>")[0] for c in (f"{long}a", f"{long}b", "a b c d", "a b c e")}
+    assert len(paths) == 4
+
+
+def test_html_many_layouts_and_odd_tables(spark, monkeypatch):
+    rows = [(k % 90, f"http://h{k % 2}/", f"<body><div class=a{'bcdefghij'[k % 9]}><p>text of the page {k}</p></div>", "x", k) for k in range(100)] + [(None, None, None, None, None)] * 2
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, host string, path long")
+    one = sorted(map(str, html_text.main_text(pages).collect()))
+    assert len(one) == 102 and all(f"text of the page {k}'" in " ".join(one) for k in range(100))
+    monkeypatch.setattr("quillstone.llm.common.BROADCAST_ROWS", 0)
+    assert sorted(map(str, html_text.main_text(pages).collect())) == one
+    assert html_text.main_text(pages.where("false")).count() == 0
+
+
 def test_html_deep_and_broken_pages_take_linear_work():
     deep = "<div class=a>" * 20_000 + "deep text" + "</div>" * 20_000
     assert html_text.extract(deep, html_text.best_path(deep)[0]) == "deep text"
