@@ -23,8 +23,10 @@ All terms of the corpus are counted before they are joined with those near an en
 takes one row of each.
 
 Defined results: null text counts as empty; failing matches of a pattern are dropped without retry;
-repeated rows count as documents of their own; without entities there are no terms; in an empty
-corpus the result is empty.
+very long texts are searched whole, in linear work; repeated rows count as documents of their own; an entity that all documents hold
+has no information and no terms; of two entities that give a term different shares in a document the larger
+share counts; null identifiers stay null; without entities there are no terms; in an empty corpus the
+result is empty; other columns, whatever their names, are not looked at.
 """
 
 from __future__ import annotations
@@ -41,10 +43,12 @@ from pyspark.sql import functions as F
 from .common import ascii_lower, bounded, cut, text_or_empty
 
 KINDS = ("email", "ip", "card", "phone")
-# The patterns of the four kinds.
-EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
-CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+# The patterns of the four kinds, in forms that look at a character a bounded number of times.  A
+# mailbox name is taken with or without what follows it, as nothing inside it could start a match where its start
+# can't; a match that starts with digits starts where they do, as no match ends before more digits.
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]++(@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++)?")
+IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
+CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 #: A term: two or more letters and digits, where all but ASCII counts as letters.
 TERM = re.compile("[A-Za-z0-9\u0080-\U0010ffff]{2,}")
@@ -70,7 +74,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     """kind, start, end (code points, end exclusive), by kind, then start."""
     out = []
     if "@" in text:
-        out += [("email", m.start(), m.end()) for m in EMAIL.finditer(text)]
+        out += [("email", m.start(), m.end()) for m in EMAIL.finditer(text) if m.group(1)]
     if not DIGITS.search(text):
         return out
     if "." in text:

@@ -1,8 +1,10 @@
 """Operators of quillstone.llm: odd rows, hot groups and brute force."""
 
 import hashlib
+import math
 import random
 import re
+import time
 from collections import Counter
 
 import duckdb
@@ -302,6 +304,73 @@ def test_pii_near_terms_are_few_for_each_mention():
     assert pii._near(text, pii.base_spans(text)) == [("ip:1.2.3.4", "a1")]
 
 
+PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+
+def plain_spans(text):
+    """The contract's words, pattern by pattern."""
+    out = []
+    for kind, pattern in PATTERNS.items():
+        for m in re.finditer(pattern, text):
+            d = re.sub("[^0-9]", "", m.group())
+            doubled = [int(x) * (2 if k % 2 else 1) for k, x in enumerate(d[::-1])]
+            fits = {"email": True, "ip": kind == "ip" and all(int(x) <= 255 for x in m.group().split(".")), "card": 16 <= len(d) <= 19 and sum(x // 10 + x % 10 for x in doubled) % 10 == 0, "phone": 8 <= len(d) <= 15}
+            if fits[kind]:
+                out.append((kind, m.start(), m.end()))
+    return out
+
+
+def test_pii_patterns_as_written(spark, sf):
+    r = random.Random(11)
+    texts = ["".join(r.choices("a1_.@-+ ()259\u00e9", k=r.randrange(60))) for _ in range(20_000)] + ["a@b.c_d@e.f", "a@b.cd@e.f", "1.2.3.4.5.6.7.8", "x@y"]
+    texts += [x["text"] or "" for x in spark.read.parquet(f"{sf}/documents.parquet").select("text").collect()]
+    for t in texts:
+        assert pii.base_spans(t) == plain_spans(t)
+
+
+@pytest.mark.parametrize("run", ["a", "1", "1.", "1 ", "+1 ", "a.", "a@", "1-", ".", "@1."])
+def test_pii_long_runs_take_linear_work(run):
+    text = run * (1_000_000 // len(run)) + " @ . +"
+    began = time.process_time()
+    pii.base_spans(text)
+    assert time.process_time() - began < 3
+
+
+def brute_pii(rows):
+    """spans of each row, by counting documents in plain Python."""
+    term = re.compile("[A-Za-z0-9\u0080-\U0010ffff]+")
+    docs = []
+    for _, text in rows:
+        spans = plain_spans(text)
+        value = lambda k, x: (k, lower(x) if k in ("email", "ip") else re.sub("[^0-9]", "", x))
+        free = [m for m in term.finditer(text) if len(m.group()) > 1 and not any(a < m.end() and m.start() < b for _, a, b in spans)]
+        near = set()
+        for k, a, b in spans:
+            for long in (True, False):
+                some = [m for m in free if (len(m.group()) >= 4) == long and (long or re.search("[A-Z0-9\u0080-\U0010ffff]", m.group()))]
+                before, after = [m for m in some if m.start() < a], [m for m in some if m.start() >= a]
+                near |= {(value(k, text[a:b]), lower(m.group())) for m in before[-8:] + after[:8]}
+        docs.append((spans, {value(k, text[a:b]) for k, a, b in spans}, near, free, {lower(m.group()) for m in term.finditer(text)}))
+    n_entity, n_term, both = Counter(e for d in docs for e in d[1]), Counter(t for d in docs for t in d[4]), Counter(x for d in docs for x in d[2])
+    share = {(e, t): math.log(len(docs) * n / (n_entity[e] * n_term[t])) / math.log(len(docs) / n_entity[e]) if n_entity[e] < len(docs) else 0.0 for (e, t), n in both.items()}
+    out = {}
+    for (i, _), (spans, entities, _, free, _) in zip(rows, docs):
+        extra = []
+        for m in free:
+            most = max((share.get((e, lower(m.group())), 0.0) for e in entities), default=0.0)
+            if most >= 0.8:
+                extra.append(("remove" if most >= 0.95 else "generalise", m.start(), m.end()))
+        out[i] = ",".join(f"{k}:{a}:{b}" for k, a, b in spans + sorted(extra))
+    return out
+
+
+def test_pii_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = [(r["doc_id"], r["text"] or "") for r in docs.collect()]
+    got = {r["doc_id"]: r["spans"] for r in pii.report(pii.find(docs)).collect()}
+    assert got == brute_pii(rows) and sum("remove" in x for x in got.values()) > 20
+
+
 def test_sharding(spark, odd):
     owner = sharding.fill(["a", "b", "c"], 101)
     assert set(Counter(owner).values()) <= {33, 34}
