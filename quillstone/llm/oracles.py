@@ -21,22 +21,34 @@ l as (
         / (sum(weight) over () - coalesce(sum(weight) over (order by cap / weight, source nulls last rows between unbounded preceding and 1 preceding), 0)) as level
     from w
 ),
-t as (select source, source_size, least(cap, weight * (select max(level) from l where level * weight <= cap)) as target from l),
+t as (select source, source_size, row_number() over (order by source nulls last) - 1 as turn, least(cap, weight * (select max(level) from l where level * weight <= cap)) as target from l),
 p as (
-    select d.*, t.source_size, t.target, coalesce(sum(size) over (partition by d.source order by digest, doc_id, size rows between unbounded preceding and 1 preceding), 0) + size / 2 as middle
+    select d.*, t.source_size, t.target, t.turn, row_number() over (partition by d.source, digest, doc_id, size) = 1 as once,
+        coalesce(sum(size) over (partition by d.source order by digest, doc_id, size rows between unbounded preceding and 1 preceding), 0) as start, start + size / 2 as middle
     from d join t on d.source is not distinct from t.source
 ),
 c as (
     select *, case when size = 0 then 0 else (middle < target)::int + (source_size + middle < target)::int + (2 * source_size + middle < target)::int end as copies
     from p
 ),
-o as (select source, sum(copies * size) - any_value(target) as over from c group by source)
-select doc_id, size, source_size, target, ((copies + case when doc_id is not distinct from one.doc_id and size = one.size then sign else 0 end) * size)::bigint as taken
-from (
+o as (select source, sum(copies * size) - any_value(target) as over from c group by source),
+m as (
     select c.*, o.over, min(case when size > 0 and (case when over > 0 then copies > 0 else copies < 3 end) and abs(abs(over) - size) < abs(over)
         then {'rest': abs(abs(over) - size), 'digest': digest, 'doc_id': doc_id, 'size': size} end) over (partition by c.source) as one, -sign(over)::int as sign
     from c join o on c.source is not distinct from o.source
+),
+f as (
+    select *, copies + case when once and doc_id is not distinct from one.doc_id and size = one.size then sign else 0 end as final,
+        case when target > 0 then start / greatest(target, start) end as share
+    from m
 )
+select doc_id, size, source_size, target, (final * size)::bigint as taken, round(case when final > 0 then case turn % 4
+    when 0 then share
+    when 1 then sqrt(0.25::double + 2 * share) - 0.5::double
+    when 2 then 1.5::double - sqrt(2.25::double - 2 * share)
+    else case when share <= 0.5 then (sqrt(0.25::double + 4 * share) - 0.5::double) / 2 else 0.5::double + (1.5::double - sqrt(2.25::double - 4 * (share - 0.5::double))) / 2 end
+end end, 6) as position
+from f
 """
 
 

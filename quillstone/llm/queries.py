@@ -28,7 +28,8 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents"))
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", F.round(F.get("positions", F.lit(0)), 6).alias("position"))
 
 
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
