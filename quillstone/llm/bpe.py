@@ -47,9 +47,9 @@ from .common import take_over, text_or_empty
 GROUP_CHARS = 1_500_000
 AWKWARD = re.compile(r" \s| $").search
 #: Bytes encoded by one recursive query, and words kept in each of two generations.
-BATCH_BYTES, KEPT_WORDS = 300_000, 220_000
+BATCH_BYTES, KEPT_WORDS = 300_000, 300_000
 #: Longer words are looked through for places to cut, and still longer ones forgotten after their batch.
-CUT_LENGTH, KEPT_LENGTH = 32, 1024
+CUT_LENGTH, KEPT_LENGTH = 12, 1024
 #: Memory of a query, and what each byte of a batch beyond BATCH_BYTES adds to it.
 QUERY_MB, MORE_BYTES = 250, 1000
 #: The character of token id is BASE + id: no combining ones and no surrogates from here on.
