@@ -15,7 +15,7 @@ step is taken back and only its leftmost place contracted.  So a run of one char
 
 A word is cut before the query where no token of the vocabulary that stands in it reaches across: no
 contraction ever joins both sides there, so the pieces' tokens are the word's.  Long unspaced texts fall into
-short pieces by this.  Batches hold BATCH_BYTES of pieces, or one longer piece, for which the query's
+short pieces by this.  What a piece's ids decode to is compared with the piece.  Batches hold BATCH_BYTES of pieces, or one longer piece, for which the query's
 memory is raised in proportion.
 
 Words that are whole tokens take the token, as the public library does.  Results for words are kept
@@ -38,8 +38,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import take_over, text_or_empty
 
@@ -49,7 +50,7 @@ AWKWARD = re.compile(r" \s| $").search
 #: Bytes encoded by one recursive query, and words kept in each of two generations.
 BATCH_BYTES, KEPT_WORDS = 300_000, 300_000
 #: Longer words are looked through for places to cut, and still longer ones forgotten after their batch.
-CUT_LENGTH, KEPT_LENGTH = 12, 1024
+CUT_LENGTH, KEPT_LENGTH = 32, 1024
 #: Memory of a query, and what each byte of a batch beyond BATCH_BYTES adds to it.
 QUERY_MB, MORE_BYTES = 250, 1000
 #: The character of token id is BASE + id: no combining ones and no surrogates from here on.
@@ -57,14 +58,17 @@ BASE = 0x20000
 LAST = 2**31
 
 STEP = f"""
-with recursive state(w, s, last, one) using key (w) as (
-    select w, s, -1, '' from start
+with recursive state(w, s, last, before, place) using key (w) as (
+    select w, s, -1, '', 0 from start
     union all
     select
-        w, case when rank < last then one when single then cut else replace(s, pair, chr(rank + {BASE})) end,
-        case when rank < last or single then -1 else rank end, cut
+        w, case
+            when rank < last then left(before, place) || chr(last + {BASE}) || substr(before, place + 3)
+            when single then left(s, spot) || chr(rank + {BASE}) || substr(s, spot + 3)
+            else replace(s, substr(s, spot + 1, 2), chr(rank + {BASE})) end,
+        case when rank < last or single then -1 else rank end, s, spot::int
     from (
-        select *, flags = 1 or flags = 2 and low & 4294967295 <> {LAST} - (high & 4294967295) as single, left(s, spot) || chr(rank + {BASE}) || substr(s, spot + 3) as cut, substr(s, spot + 1, 2) as pair
+        select *, flags = 1 or flags = 2 and low & 4294967295 <> {LAST} - (high & 4294967295) as single
         from state join (
             select
                 a.w, min(m.key | a.spot) as best, (best >> 34)::int as rank, best & {LAST} - 1 as spot, best >> 32 & 3 as flags, min(m.low) as low, min(m.high) as high
@@ -77,8 +81,8 @@ with recursive state(w, s, last, one) using key (w) as (
     )
 ),
 positions as (select w, unnest(string_split(s, '')) as t, unnest(range(length(s))) as p from state)
-select w, encode(string_agg(v.id::varchar, ',' order by x.p)) as ids, unhex(string_agg(v.hex, '' order by x.p)) as decoded
-from positions x join vocabulary v on v.token = x.t
+select w, encode(string_agg(id, ',')) as ids, unhex(string_agg(hex, '')) as decoded
+from (select w, id, hex from positions join vocabulary on token = t order by w, p)
 group by w
 """
 
@@ -98,7 +102,8 @@ class Encoder:
 
         self.ranks = load_ranks(path)
         self.tokens = {r: t for t, r in self.ranks.items()}
-        self.start = {b: chr(BASE + self.ranks[bytes([b])]) for b in range(256)}
+        #: The UTF-8 bytes of each byte's character, four each.
+        self.start = np.array([list(chr(BASE + self.ranks[bytes([b])]).encode()) for b in range(256)], np.uint8)
         self.split = regex.compile(pattern).findall
         self.within = ahocorasick.Automaton()
         for token in self.ranks:
@@ -117,9 +122,11 @@ class Encoder:
                 flags.append(1 if alone else 2 if meets else 0)
         ids, rank = np.arange(len(pair)), np.array(rank, np.int64)
         self._table("merges", pair=pa.array(pair), key=rank << 34 | np.array(flags, np.int64) << 32, low=rank << 32 | ids, high=rank << 32 | LAST - ids)
-        self._table("vocabulary", token=pa.array([chr(BASE + r) for r in self.tokens]), id=pa.array(list(self.tokens), pa.int32()), hex=pa.array([t.hex() for t in self.tokens.values()]))
-        self.new: dict[str, tuple[bytes, bytes]] = {}
-        self.old: dict[str, tuple[bytes, bytes]] = {}
+        self._table("vocabulary", token=pa.array([chr(BASE + r) for r in self.tokens]), id=pa.array(list(map(str, self.tokens))), hex=pa.array([t.hex() for t in self.tokens.values()]))
+        #: Ids and decoded bytes of words, of this generation and the last one.
+        self.ids: dict[str, bytes] = {}
+        self.raw: dict[str, bytes] = {}
+        self.old: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
 
     def _table(self, name: str, **columns: pa.Array) -> None:
         given = pa.table(columns)  # noqa: F841  found by name
@@ -127,53 +134,64 @@ class Encoder:
 
     def pieces(self, raw: bytes) -> list[bytes]:
         """raw cut wherever no token that stands in it reaches across."""
-        if len(raw) <= CUT_LENGTH:
-            return [raw]
         found = np.array([(end, n) for end, n in self.within.iter(raw.decode("latin-1"))], np.int64).reshape(-1, 2)
-        size = len(raw) + 1
         # A token in [i, j] reaches across the places i+1..j; place k stands before byte k.
-        change = np.bincount(found[:, 0] - found[:, 1] + 2, minlength=size + 1) - np.bincount(found[:, 0] + 1, minlength=size + 1)
+        size = len(raw) + 2
+        change = np.bincount(found[:, 0] - found[:, 1] + 2, minlength=size) - np.bincount(found[:, 0] + 1, minlength=size)
         free = np.flatnonzero(np.cumsum(change)[1 : len(raw)] == 0) + 1
         ends = [0, *free.tolist(), len(raw)]
         return [raw[a:b] for a, b in zip(ends, ends[1:])]
 
     def learn(self, words: list[str]) -> None:
         """Encodes words that are not known and keeps the results."""
+        whole: dict[bytes, str] = {}
         cut: dict[str, list[bytes]] = {}
         for word in words:
             raw = word.encode()
             if (r := self.ranks.get(raw)) is not None:
-                self.new[word] = (b"%d" % r, self.tokens[r])
+                self.ids[word], self.raw[word] = b"%d" % r, self.tokens[r]
+            elif len(raw) <= CUT_LENGTH:
+                whole[raw] = word
             else:
                 cut[word] = self.pieces(raw)
+        done: dict[bytes, bytes] = {}
         batch, size = [], 0
-        done: dict[bytes, tuple[bytes, bytes]] = {}
-        for piece in dict.fromkeys(x for xs in cut.values() for x in xs):
+        for piece in [*whole, *{x for xs in cut.values() for x in xs if x not in whole}]:
             if batch and size + len(piece) > BATCH_BYTES:
-                done.update(self._query(batch, size))
+                done.update(self._query(batch))
                 batch, size = [], 0
             batch.append(piece)
             size += len(piece)
         if batch:
-            done.update(self._query(batch, size))
+            done.update(self._query(batch))
         for word, xs in cut.items():
-            self.new[word] = done[xs[0]] if len(xs) == 1 else (b",".join([done[x][0] for x in xs]), b"".join([done[x][1] for x in xs]))
-
-    def _query(self, pieces: list[bytes], size: int) -> Iterator[tuple[bytes, tuple[bytes, bytes]]]:
-        self.db.execute(f"set memory_limit='{QUERY_MB + max(0, size - BATCH_BYTES) * MORE_BYTES // 1_000_000}MB'")
-        start = pa.table({"w": pa.array(range(len(pieces)), pa.int32()), "s": pa.array([x.decode("latin-1").translate(self.start) for x in pieces])})  # noqa: F841  found by name
+            self.ids[word], self.raw[word] = b",".join([done[x] for x in xs]), b"".join(xs)
+        for raw, word in whole.items():
+            self.ids[word], self.raw[word] = done[raw], raw
+
+    def _query(self, pieces: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        """What each piece's ids decode to, which is the piece, and the ids."""
+        joined = b"".join(pieces)
+        self.db.execute(f"set memory_limit='{QUERY_MB + max(0, len(joined) - BATCH_BYTES) * MORE_BYTES // 1_000_000}MB'")
+        ends = np.zeros(len(pieces) + 1, np.int64)
+        np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)), out=ends[1:])
+        signs = self.start[np.frombuffer(joined, np.uint8)]
+        s = pa.LargeStringArray.from_buffers(len(pieces), pa.py_buffer(ends * self.start.shape[1]), pa.py_buffer(signs))
+        start = pa.table({"w": pa.array(range(len(pieces)), pa.int32()), "s": s})  # noqa: F841  found by name
         out = self.db.sql(STEP).to_arrow_table()
-        return ((pieces[w], (ids, decoded)) for w, ids, decoded in zip(*(out.column(c).to_pylist() for c in ("w", "ids", "decoded"))))
+        decoded = out.column("decoded").to_pylist()
+        if len(decoded) != len(pieces) or decoded != [pieces[w] for w in out.column("w").to_pylist()]:
+            raise ValueError("words came back as others")
+        return zip(decoded, out.column("ids").to_pylist())
 
     def _missing(self, words: set[str]) -> list[str]:
         """Those of words with no result yet; results of the older generation are taken over."""
-        missing = []
-        for word in words:
-            if word not in self.new:
-                if (x := self.old.get(word)) is not None:
-                    self.new[word] = x
-                else:
-                    missing.append(word)
+        missing, (ids, raw) = [], self.old
+        for word in words - self.ids.keys():
+            if word in ids:
+                self.ids[word], self.raw[word] = ids[word], raw[word]
+            else:
+                missing.append(word)
         return missing
 
     def words_of(self, piece: str) -> list[str]:
@@ -191,8 +209,8 @@ class Encoder:
         Where no space stands before other white space, splitting at spaces first can't change the
         pattern's words: each piece, with its space, is split by itself and looked up whole.
         """
-        if len(self.new) > KEPT_WORDS:
-            self.old, self.new = self.new, {}
+        if len(self.ids) > KEPT_WORDS:
+            self.old, self.ids, self.raw = (self.ids, self.raw), {}, {}
         pieces = []
         for text in texts:
             if AWKWARD(text):
@@ -200,20 +218,21 @@ class Encoder:
             else:
                 first, *rest = text.split(" ")
                 pieces.append(([first] if first else []) + [" " + x for x in rest])
-        unknown = {x: self.words_of(x) for x in self._missing(set().union(*pieces))}
-        self.learn(self._missing({w for ws in unknown.values() for w in ws}))
-        known = self.new
-        for x, ws in unknown.items():
-            if len(ws) > 1:
-                parts = [known[w] for w in ws]
-                known[x] = (b",".join([p[0] for p in parts]), b"".join([p[1] for p in parts]))
+        missing = self._missing(set().union(*pieces))
+        several = {}
+        for x in missing:
+            if len(ws := self.words_of(x)) > 1:
+                several[x] = ws
+        self.learn([x for x in missing if x not in several] + self._missing({w for ws in several.values() for w in ws}.difference(missing)))
+        of_id, of_raw = self.ids.__getitem__, self.raw.__getitem__
+        for x, ws in several.items():
+            self.ids[x], self.raw[x] = b",".join(map(of_id, ws)), b"".join(map(of_raw, ws))
         out = []
         for ws in pieces:
-            parts = [known[w] for w in ws]
-            ids = b",".join([p[0] for p in parts])
-            out.append((ids.count(b",") + bool(ids), ids, b"".join([p[1] for p in parts])))
-        for x in [x for x in {*unknown, *(w for ws in unknown.values() for w in ws)} if len(x) > KEPT_LENGTH]:
-            known.pop(x, None)
+            ids = b",".join(map(of_id, ws))
+            out.append((ids.count(b",") + bool(ids), ids, b"".join(map(of_raw, ws))))
+        for x in [x for x in (*missing, *(w for ws in several.values() for w in ws)) if len(x) > KEPT_LENGTH]:
+            self.ids.pop(x, None), self.raw.pop(x, None)
         return out
 
 
@@ -245,9 +264,12 @@ def groups(texts: list[str], most: int = GROUP_CHARS) -> Iterator[tuple[int, int
         yield begin, len(texts)
 
 
-def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", ids: bool = True) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256, and with ids the token ids themselves, for every row of docs."""
-    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
+def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", ids: bool = True, keep: tuple[Column, ...] = ()) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256, with ids the token ids themselves, and keep's columns, for every row of docs."""
+    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"), *keep)
+    schema = T._parse_datatype_string("doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if ids else ""))
+    kept = slim.columns[2:]
+    schema = T.StructType([*schema.fields, *(slim.schema[c] for c in kept)])
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(path, pattern)
@@ -267,6 +289,8 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "do
                     if ids:
                         columns.append(pa.array([list(map(int, x.split(b","))) if x else [] for _, x, _ in rows], pa.list_(pa.int32())))
                         names.append("ids")
+                    columns += [batch.column(c).slice(i + a, b - a) for c in kept]
+                    names += kept
                     yield pa.RecordBatch.from_arrays(columns, names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -279,4 +303,4 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "do
             if collects:
                 gc.enable()
 
-    return slim.mapInArrow(run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if ids else ""))
+    return slim.mapInArrow(run, schema)

@@ -195,7 +195,7 @@ def test_bpe_of_long_words():
     for text, (n, ids, decoded) in zip(texts, e.encode(texts), strict=True):
         want = lib.encode_ordinary(text)
         assert (n, ids, decoded) == (len(want), ",".join(map(str, want)).encode(), text.encode())
-    assert max(map(len, e.new)) <= bpe.KEPT_LENGTH
+    assert max(map(len, e.ids)) <= bpe.KEPT_LENGTH and e.ids.keys() == e.raw.keys()
 
 
 def test_statistics(spark, odd):
