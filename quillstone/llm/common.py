@@ -65,16 +65,34 @@ def word_count(text: Column) -> Column:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that spark.checkpoint.dir names; a temporary one only where it is unset, as in tests."""
+    """The folder that spark.checkpoint.dir names.  Only a local session, as in tests, may go without: it gets a temporary one."""
     sc = spark.sparkContext
     have = sc._jsc.sc().getCheckpointDir()
     if have.isDefined():
         return have.get()
     named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="quillstone-checkpoint-"))
     return sc._jsc.sc().getCheckpointDir().get()
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def file_order() -> Column:
+    """A number that puts the rows of files written by one job in the order in which they were written.
+
+    Files are named by their task and their number in it, and Parquet rows know their place in a file; readers take files
+    in any order.  Works on a frame read from Parquet.
+    """
+    name = F.col("_metadata.file_name")
+    part = lambda pattern: F.coalesce(F.try_to_number(F.regexp_extract(name, pattern, 1), F.lit("9999999999")).cast("long"), F.lit(0))
+    return F.shiftleft(part(r"^part-(\d+)-") * 1000 + part(r"-c(\d+)\."), 33).bitwiseOR(F.col("_metadata.row_index"))
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Writes df to the shared checkpoint folder and goes on from there; survives lost executors."""
     shared_folder(df.sparkSession)

@@ -4,6 +4,10 @@ Each round every node takes the smallest label among its own and its neighbours'
 that label.  Labels never leave the cluster; a round's table is cut from its lineage in the shared
 checkpoint folder, and the driver only learns whether any label has changed.  Minima are pre-aggregated,
 and joins on a hub's key are plain equi-joins that adaptive execution may split.
+
+Defined results: edges with a null end and loops are ignored, repeated edges and both directions of one count
+once; a node without an edge has no row; an empty table gives an empty result; columns besides a and b are not
+looked at.
 """
 
 from __future__ import annotations

@@ -18,7 +18,8 @@ but not "has-sidebar" or "related-work").  Headings, article and main elements s
 and so does an element with more than half of the page's text, unless it is marked as comments.
 
 Defined results: null html counts as empty and gives an empty text, as does a page without text;
-null URLs and those without "://" share the host ""; broken markup (unclosed or stray tags, cut-off
+null URLs and those without "://" share the host ""; repeated rows vote and are extracted each; an empty table gives an
+empty result; other columns, whatever their names, are not looked at; broken markup (unclosed or stray tags, cut-off
 pages) never fails: a tag that ends without its ">" is dropped, unclosed elements end with the page.
 Work and memory are linear in a page's length however deep its elements are nested: a path longer than
 PATH_CHARS is held as the digest of its parent's and its last step.

@@ -24,7 +24,8 @@ With 32 bands of 4 rows a link at similarity 0.8 is in no bucket with a probabil
 Defined results: null text counts as empty; the empty set links with nothing, not even with another
 empty one; a text with fewer words than the width has its whole sequence as the one shingle; rows
 with equal texts (repeated rows too) are in one component; null identifiers count as the largest,
-and a component that has only such has a null component_id.  Other columns are not looked at.
+and a component that has only such has a null component_id; very long texts are measured whole; an
+empty table gives an empty result.  Other columns, whatever their names, are not looked at.
 """
 
 from __future__ import annotations
@@ -35,10 +36,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bounded, cut, take_over, text_or_empty
+from .common import SALTS, bounded, cut, take_over, text_or_empty
 from .components import components
 
 BANDS, ROWS = 32, 4
@@ -120,9 +121,13 @@ def _digest(found: np.ndarray) -> bytes:
     return hashlib.blake2b(found.tobytes(), digest_size=16).digest()
 
 
+def _text_key(text_col: str) -> Column:
+    return F.unhex(F.md5(text_or_empty(text_col).cast("binary")))
+
+
 def _measure(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """doc_id, n_shingles, class (digest of the set, null if empty), bands, sketch for every row."""
-    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
+    """doc_id, n_shingles, class (digest of the set, null if empty), bands, sketch, text_key for every row."""
+    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"), _text_key(text_col).alias("text_key"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         take_over("minhash", forget)
@@ -137,9 +142,9 @@ def _measure(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFra
                     bands.append(_bands(found) if len(found) else None)
                     sketches.append(_sketch(found) if len(found) else None)
                 longs = pa.list_(pa.int64())
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n, pa.int64()), pa.array(cls, pa.binary()), pa.array(bands, longs), pa.array(sketches, longs)], ["doc_id", "n_shingles", "class", "bands", "sketch"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n, pa.int64()), pa.array(cls, pa.binary()), pa.array(bands, longs), pa.array(sketches, longs), part.column("text_key")], ["doc_id", "n_shingles", "class", "bands", "sketch", "text_key"])
 
-    return slim.mapInArrow(run, "doc_id bigint, n_shingles bigint, class binary, bands array<bigint>, sketch array<bigint>")
+    return slim.mapInArrow(run, "doc_id bigint, n_shingles bigint, class binary, bands array<bigint>, sketch array<bigint>, text_key binary")
 
 
 def _sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
@@ -179,18 +184,23 @@ def _apart(held: DataFrame) -> DataFrame:
     """held (centre, class, comp) with n, most (rows of the centre and of its largest component) and largest, for centres of several components."""
     sizes = held.groupBy("centre", "comp").agg(F.count("*").alias("n")).groupBy("centre").agg(F.sum("n").alias("n"), F.count("*").alias("kinds"), F.max(F.struct("n", "comp")).alias("top"))
     sizes = sizes.where("kinds > 1").select(F.col("centre").alias("of_centre"), "n", F.col("top.n").alias("most"), F.col("top.comp").alias("largest"))
-    return held.join(sizes, F.col("centre") == F.col("of_centre")).drop("of_centre")
+    return held.join(bounded(cut(sizes)), F.col("centre") == F.col("of_centre")).drop("of_centre")
 
 
 def _faced(full: DataFrame, payload: list[str]) -> DataFrame:
-    """left, right: blocks of about BLOCK rows of a centre, those outside its largest component against all."""
+    """left, right: blocks of about BLOCK rows of a centre, those outside its largest component against all.
+
+    A centre with many blocks is dealt to up to SALTS tasks: each takes a share of its right blocks, and all left ones.
+    """
+    n_blocks = lambda n: F.ceil(n / F.lit(BLOCK))
+    shares = F.least(F.lit(SALTS), n_blocks(F.col("n"))).cast("int")
 
     def blocks(df: DataFrame, n) -> DataFrame:
-        return df.groupBy("centre", F.pmod(F.xxhash64("class"), F.ceil(n / F.lit(BLOCK))).alias("block")).agg(F.collect_list(F.struct("class", "comp", *payload)).alias("rows"))
+        return df.groupBy("centre", shares.alias("shares"), F.pmod(F.xxhash64("class"), n_blocks(n)).alias("block")).agg(F.collect_list(F.struct("class", "comp", *payload)).alias("rows"))
 
-    out, whole = blocks(full.where("comp <> largest"), F.col("n") - F.col("most")), blocks(full, F.col("n"))
-    right = whole.select(F.col("centre").alias("of_centre"), F.col("rows").alias("right"))
-    return out.select("centre", F.col("rows").alias("left")).join(right, F.col("centre") == F.col("of_centre")).select("centre", "left", "right")
+    left = blocks(full.where("comp <> largest"), F.col("n") - F.col("most")).select("centre", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), F.col("rows").alias("left"))
+    right = blocks(full, F.col("n")).select(F.col("centre").alias("of_centre"), F.pmod("block", "shares").cast("int").alias("of_share"), F.col("rows").alias("right"))
+    return left.join(right, (F.col("centre") == F.col("of_centre")) & (F.col("share") == F.col("of_share"))).select("centre", "left", "right")
 
 
 def _hopeful(full: DataFrame, percent: int) -> DataFrame:
@@ -263,8 +273,8 @@ def _between(stars: DataFrame, comps: DataFrame, sketches: DataFrame, sets, perc
     return _faced(full, ["found"]).mapInArrow(compare, "a binary, b binary")
 
 
-def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row of docs; kept: its identifier is the component's."""
+def _linked(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> DataFrame:
+    """doc_id, n_shingles, text_key, class, group (a class of the component; null for empty sets), component for every row of docs."""
     rows = cut(_measure(docs, id_col, text_col, width))
     members = rows.where("class is not null")
     classes = members.groupBy("class").agg(F.min("doc_id").alias("least"), F.first("bands").alias("bands"), F.first("n_shingles").alias("size"), F.first("sketch").alias("sketch"))
@@ -291,8 +301,27 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width:
     of_class = classes.select("class", "least")
     comps = comps.select(F.col("node").alias("class"), "comp")
     roots = of_class.join(comps, "class").groupBy("comp").agg(F.min("least").alias("root"))
-    joined = comps.join(roots, "comp").select("class", "root")
-    named = cut(of_class.join(joined, "class", "left").select(F.col("class").alias("of_class"), F.least("least", F.coalesce("root", "least")).alias("component")))
-    out = rows.select("doc_id", "n_shingles", "class").join(named, F.col("class") == F.col("of_class"), "left")
-    component = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    joined = comps.join(roots, "comp").select("class", "comp", "root")
+    named = of_class.join(joined, "class", "left").select(F.col("class").alias("of_class"), F.coalesce("comp", "class").alias("group"), F.least("least", F.coalesce("root", "least")).alias("component"))
+    out = rows.select("doc_id", "n_shingles", "text_key", "class").join(cut(named), F.col("class") == F.col("of_class"), "left").drop("of_class")
+    return out.withColumn("component", F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component")))
+
+
+def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept for every row of docs; kept: its identifier is the component's."""
+    out = _linked(docs, id_col, text_col, width, percent).select("doc_id", "n_shingles", F.col("component").alias("component_id"))
+    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of docs that stay, with docs' own columns: one document of each component, and all with empty sets.
+
+    Of a component the smallest identifier stays (null is the largest), and of texts with that identifier the one with
+    the smallest digest.  Rows equal in identifier and text are one document: they stay or go together.
+    """
+    linked = cut(_linked(docs, id_col, text_col, width, percent).where("group is not null").select("doc_id", "text_key", "group"))
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
+    first = linked.groupBy("group").agg(F.min(place).alias("first"), F.count("*").alias("n"))
+    first = first.where("n > 1").select(F.col("group").alias("of_group"), "first")
+    gone = linked.join(first, F.col("group") == F.col("of_group")).where(place != F.col("first")).select(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_key")).distinct()
+    return docs.join(gone, F.col(id_col).cast("long").eqNullSafe(F.col("gone_id")) & (_text_key(text_col) == F.col("gone_key")), "left_anti")

@@ -1,5 +1,8 @@
 """DuckDB SQL for the queries that SQL can express, written from their contracts."""
 
+from .queries import SHARDS
+from .sharding import SLOTS, fill
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 OP1 = f"""
@@ -52,4 +55,68 @@ from f
 """
 
 
-ORACLES = {"op1_exact_dedup": OP1, "op3_source_mix": OP3}
+#: One level of the hierarchy: the prior's strength from the spread of the rates, then rate and variance.
+LEVEL = """
+{name}_s as (
+    select sum(n * (bad / n - prior) * (bad / n - prior)) as spread, sum(prior * (1 - prior)) as unit, sum(n * prior * (1 - prior)) as most,
+        case when unit is null or most - unit <= 1e-12 then 0.5::double else least(greatest((spread - unit) / (most - unit), 1e-3), 0.999::double) end as rho, (1 - rho) / rho as k
+    from {name}_p where n > 0
+),
+{name}_r as (
+    select {keys}, n, bad, bad + k * prior as a, n - bad + k * (1 - prior) as b, a / (a + b) as rate, a * b / ((a + b) * (a + b) * (a + b + 1)) + (k / (n + k)) * (k / (n + k)) * doubt as variance
+    from {name}_p, {name}_s
+)"""
+OP4 = rf"""
+with p as (
+    select page_id, translate(regexp_extract(coalesce(url, ''), '^(?s:.*?)://([^/?#]*)', 1), '{UPPER}', '{LOWER}') as host, regexp_extract(coalesce(url, ''), '^(?s:.*?)://[^/?#]*([^?#]*)', 1) as path
+    from pages
+),
+r as (
+    select *, case
+        when '.' || host like '%.www.example.com' and path like '/en/%' then 'www.example.com/en/' when '.' || host like '%.example.com' and path like '/en/%' then 'example.com/en/'
+        when '.' || host like '%.net' and path like '/es/%' then 'net/es/' when '.' || host like '%.net' and path like '/fr/%' then 'net/fr/'
+        when '.' || host like '%.com' and path like '/%' then 'com/' end as rule,
+        case when rule in ('com/', 'www.example.com/en/') then 0 when rule is not null then 1 end as bad
+    from p
+),
+h as (
+    select host, count(bad) as n, coalesce(sum(bad), 0)::bigint as bad, regexp_extract(host, '([^.]*\.)?[^.]*$') as two,
+        two in ('co.uk', 'org.uk', 'ac.uk', 'gov.uk', 'com.au', 'net.au', 'org.au', 'co.jp', 'or.jp', 'co.nz', 'com.br', 'co.in', 'com.cn', 'co.za', 'co.kr') as double,
+        case when double then two else regexp_extract(host, '[^.]*$') end as suffix, case when double then regexp_extract(host, '([^.]*\.)?([^.]*\.)?[^.]*$') else two end as domain
+    from r group by host
+),
+whole as (select (sum(bad) + 0.5::double) / (sum(n) + 1) as mean, mean * (1 - mean) / (sum(n) + 2) as unsure from h),
+suffix_p as (select suffix, sum(n)::bigint as n, sum(bad)::bigint as bad, any_value(mean) as prior, any_value(unsure) as doubt from h, whole group by suffix),
+{LEVEL.format(name="suffix", keys="suffix")},
+domain_p as (select l.*, u.rate as prior, u.variance as doubt from (select domain, suffix, sum(n)::bigint as n, sum(bad)::bigint as bad from h group by all) l join suffix_r u using (suffix)),
+{LEVEL.format(name="domain", keys="domain, suffix")},
+host_p as (select l.*, u.rate as prior, u.variance as doubt from (select host, domain, n, bad from h) l join domain_r u using (domain)),
+{LEVEL.format(name="host", keys="host")}
+select page_id, host, path, rule, case when r.bad = 1 then 'block' when r.bad = 0 then 'allow' when rate - 1.64::double * sqrt(variance) > 0.5 then 'block' else 'allow' end as verdict
+from r join host_r using (host)
+"""
+
+OP7 = rf"""
+with recursive d as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x20\x09-\x0D]+') as w from documents),
+s as (
+    select distinct doc_id, unnest(case when len(w) > 1 then list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) else w end) as shingle from d
+),
+n as (select doc_id, count(*) as size from s group by 1),
+k as (select s.doc_id, shingle, size from s join n using (doc_id)),
+links as (
+    select a.doc_id as a, b.doc_id as b from k a join k b on a.shingle = b.shingle and a.doc_id <> b.doc_id and 100 * least(a.size, b.size) >= 80 * greatest(a.size, b.size)
+    group by all having 100 * count(*) >= 80 * (any_value(a.size) + any_value(b.size) - count(*))
+),
+reach as (select doc_id as a, doc_id as b from d union select r.a, l.b from reach r join links l on r.b = l.a),
+c as (select a as doc_id, min(b) as component_id from reach group by 1)
+select doc_id, coalesce(size, 0)::bigint as n_shingles, component_id, doc_id = component_id as kept from c left join n using (doc_id)
+"""
+
+#: The table is filled by the operator's rule, as SQL has no loop that claims slots in turns.
+OP10 = f"""
+with d as (select doc_id, ('0x' || md5(coalesce(doc_id::varchar, 'text:' || md5(coalesce(text, ''))))[:8])::bigint % {SLOTS} as slot from documents),
+t as (select unnest(range({SLOTS})) as slot, unnest([{",".join(map(str, fill(SHARDS)))}]) as shard)
+select doc_id, slot::int as slot, shard::int as shard from d join t using (slot)
+"""
+
+ORACLES = {"op1_exact_dedup": OP1, "op3_source_mix": OP3, "op4_url_filter": OP4, "op7_near_dedup": OP7, "op10_sharding": OP10}

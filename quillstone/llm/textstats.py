@@ -1,4 +1,9 @@
-"""Statistics of documents as Spark expressions; no Python runs on the executors."""
+"""Statistics of documents as Spark expressions; no Python runs on the executors.
+
+Defined results: null text counts as empty, and empty text has zeros throughout; a text of fewer than WINDOW words has
+no windows; very long texts are measured whole; repeated rows give repeated rows; an empty table gives none;
+kept columns must not be named like a statistic, other columns are not looked at.
+"""
 
 from __future__ import annotations
 

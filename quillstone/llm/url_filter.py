@@ -9,8 +9,10 @@ lower bound of its host's posterior rate is above the threshold.
 
 Defined results: null URLs and those without "://" have empty host and path, fit no rule and belong
 to the host ""; ports and user names stay part of the host, as the host rule says; hosts without
-labels take their domain's, suffix's or the whole's estimate; without any label nothing is blocked
-by reputation; an empty table gives an empty result.
+labels take their domain's, suffix's or the whole's estimate; labels that are null don't count, and
+repeated ones count each; repeated rows give repeated rows; without any label nothing is blocked by
+reputation; very long URLs are read whole; an empty table gives an empty result; other columns, whatever
+their names, are not looked at.
 """
 
 from __future__ import annotations

@@ -8,6 +8,7 @@ import time
 from collections import Counter
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -225,6 +226,82 @@ def test_learned_rules_and_trees(spark, sf, none):
     assert quality_model.score(none, trees, none.columns).count() == 0
 
 
+def brute_rules(x, bad):
+    """Sequential covering by trying every cut of every feature, in plain loops."""
+    cuts = [sorted(set(np.quantile(c, np.linspace(0, 1, quality_rules.CUTS + 1)[:-1]).tolist())) for c in x.T]
+    rows, out = [(tuple(r), bool(b), k % 3 == 2) for k, (r, b) in enumerate(zip(x.tolist(), bad))], []
+    fits = lambda rule, r: all((r[f] > c) if above else (r[f] <= c) for f, above, c in rule)
+    while len(out) < quality_rules.MAX_RULES and any(b and not t for _, b, t in rows):
+        rule, inside = [], [(r, b) for r, b, t in rows if not t]
+        while len(rule) < quality_rules.MAX_TESTS and any(not b for _, b in inside):
+            p0 = sum(b for _, b in inside)
+            base, best = math.log2(p0 / len(inside)), (1e-9, None)
+            for f, above in ((f, a) for f in range(x.shape[1]) for a in (False, True)):
+                for c in cuts[f]:
+                    hit = [b for r, b in inside if fits([(f, above, c)], r)]
+                    if sum(hit) and (gain := sum(hit) * (math.log2(sum(hit) / len(hit)) - base)) > best[0] + 1e-9:
+                        best = gain, (f, above, c)
+            if best[1] is None:
+                break
+            rule.append(best[1])
+            inside = [(r, b) for r, b in inside if fits([best[1]], r)]
+
+        def worth(k, rule=rule):
+            hit = [b for r, b, t in rows if t and fits(rule[:k], r)]
+            return (2 * sum(hit) - len(hit)) / len(hit) if hit else -1.0
+
+        rule = rule[: max(range(1, len(rule) + 1), key=worth, default=0)]
+        tested, covered = [b for r, b, t in rows if t and fits(rule, r)], [b for r, b, _ in rows if fits(rule, r)]
+        if not rule or not sum(tested) or sum(tested) < quality_rules.LEAST_PRECISION * len(tested) or sum(covered) < quality_rules.LEAST_ROWS:
+            break
+        out.append(rule)
+        rows = [row for row in rows if not fits(rule, row[0])]
+        rows = [(r, b, t) for r, b, t in rows]
+    return out
+
+
+def test_quality_rules_brute_force(spark, sf, odd, none):
+    r = np.random.default_rng(4)
+    x = r.integers(0, 30, (240, 4)).astype(float)
+    bad = (x[:, 1] > 20) & (x[:, 2] <= 14) | (x[:, 3] <= 4)
+    want = brute_rules(x, bad)
+    assert [[(t.feature, t.above, t.cut) for t in rule] for rule in quality_rules.learn(x, bad)] == want and len(want) > 1
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    rules = quality_rules.fit(docs, spark.read.parquet(f"{sf}/labels.parquet"))
+    rows = with_stats(docs, [F.col("doc_id")]).select("doc_id", F.col("n_words").alias("n"), "n_repeat_words", *quality_rules.features()).collect()
+    got = {q["doc_id"]: (q["base_failed"], q["kept"]) for q in quality_rules.judge(docs, rules).collect()}
+    for row in rows:
+        failed = row["n"] < 20 or 100 * row["n_repeat_words"] > 30 * row["n"]
+        values = np.array([row[2 + len(row[:1]) :]], float)
+        assert got[row["doc_id"]] == (failed, not failed and not any(quality_rules._covers(rule, values)[0] for rule in rules))
+    assert quality_rules.judge(none, rules).count() == 0 and quality_rules.judge(odd, rules).where("kept and n_words < 20").count() == 0
+
+
+def test_trees_brute_force(spark, sf, odd):
+    r = np.random.default_rng(5)
+    x = r.normal(size=(500, 6))
+    y = ((x[:, 0] > 0) ^ (x[:, 3] > 0.5)).astype(float)
+    trees = quality_model.train(x, y, 12)
+
+    def walk(row):
+        total = trees.start
+        for f, c, v in zip(trees.feature, trees.cut, trees.value):
+            at = 0
+            while at < len(f):
+                at = 2 * at + (2 if row[f[at]] > c[at] else 1)
+            total += v[at - len(f)]
+        return 1 / (1 + math.exp(-total))
+
+    assert np.allclose(trees.score(x), [walk(row) for row in x]) and ((trees.score(x) > 0.5) == y).mean() > 0.95
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    fitted = quality_model.fit(docs, labels)
+    plain = {q["doc_id"]: fitted.score(quality_model._table([q["text"] or ""]))[0] for q in docs.collect()}
+    got = {q["doc_id"]: q["score"] for q in quality_model.score(docs, fitted, ["doc_id"]).collect()}
+    assert got.keys() == plain.keys() and all(abs(got[k] - plain[k]) < 1e-12 for k in got)
+    out = quality_model.score(odd, fitted, odd.columns)
+    assert out.columns == [*odd.columns, "score"] and out.where("score between 0 and 1").count() == len(ODD)
+
+
 def test_html():
     page = "<html><body><nav>menu</nav><article><h1>T &amp; t</h1><p>one <b>two</b>three<p>four<div class='comments'><p>no</div><form>f</form></article><aside>n</aside><footer>e"
     assert html_text.best_path(page)[0] == "html>body>article"
@@ -386,6 +463,52 @@ def test_sharding(spark, odd):
     assert out.columns == [*odd.columns, "slot", "shard"] and out.count() == len(ODD)
     with pytest.raises(ValueError):
         sharding.fill(["a"], 100)
+    assert sharding.place(odd.where("false"), F.col("doc_id").cast("string"), ["a", "b"], 101).count() == 0
+    keys = [r["doc_id"] for r in odd.select("doc_id").collect()]
+    slots = {r["doc_id"]: (r["slot"], r["shard"]) for r in out.collect()}
+    for k in keys:
+        at = int(hashlib.md5(("" if k is None else str(k)).encode()).hexdigest()[:8], 16) % 101
+        assert slots[k] == (at, owner[at])
+
+
+def test_drop_near_copies_by_row(spark, odd, none):
+    base = [f"w{k}" for k in range(60)]
+    near = " ".join([*base[:-1], "other"])
+    rows = [(1, " ".join(base), 0), (1, "some quite different text of more than five words", 1), (None, near, 2), (5, near, 3), (None, " ".join([*base, "end"]), 4), (None, "a b c d e f g h i j", 5), (None, "a b c d e f g h i j", 6), (9, "", 7), (9, None, 8)]
+    kept = sorted(r["k"] for r in minhash.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string, k int")).collect())
+    assert kept == [0, 1, 5, 6, 7, 8]
+    out = minhash.drop_near_copies(odd)
+    assert out.columns == odd.columns and minhash.drop_near_copies(none).count() == 0
+
+
+def test_near_dedup_of_a_centre_over_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK", 16)
+    monkeypatch.setattr("quillstone.llm.common.BROADCAST_ROWS", 0)
+    test_near_dedup_of_a_dense_family(spark)
+
+
+def test_stages_on_odd_and_empty_tables(spark, sf, odd, none, tmp_path):
+    import corpus_pipeline
+
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        for name, docs in (("odd", odd), ("none", none)):
+            docs.write.parquet(f"{tmp_path}/{name}{k}")
+            out = stage(spark, spark.read.parquet(f"{tmp_path}/{name}{k}"), sf)
+            rows = out.collect()
+            assert k == len(corpus_pipeline.STAGES) - 1 or out.columns == docs.columns
+            assert rows if name == "odd" else not rows
+
+
+def test_pipeline_keeps_the_training_order(spark, sf):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:3]:
+        docs = stage(spark, docs, sf)
+    want = [r["doc_id"] for r in mixing.training_order(docs).collect()]
+    got = corpus_pipeline.run(spark, sf).select("doc_id", "position").collect()
+    assert [r["doc_id"] for r in sorted(got, key=lambda r: r["position"])] == want
+    assert len({r["position"] for r in got}) == len(got)
 
 
 def test_pipeline(spark, sf):
