@@ -1,6 +1,12 @@
 """A training corpus from the documents table: judged, deduplicated, mixed and encoded.
 
-Each stage takes what its predecessor kept; all but the last return the columns of documents.
+Each stage takes what its predecessor kept; all but the last return the columns of documents, and columns that
+documents has besides go with their rows.
+
+Defined results: null text counts as empty; rows with a null identifier are judged, deduplicated and mixed like
+others, and are never learnt from; of equal texts one row stays, so repeated rows do too; rows equal in
+identifier and text that come to the near-duplicate stage stay or go together; ties are broken by identifiers and digests of
+texts; very long texts are read whole; an empty table gives an empty result with the same columns at every stage.
 """
 
 from __future__ import annotations
@@ -10,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillstone.llm import bpe, exact_dedup, minhash, mixing, quality_model
-from quillstone.llm.common import shared_folder, table
+from quillstone.llm.common import delete_folder, file_order, shared_folder, table
 from quillstone.llm.queries import VOCABULARY, held_out
 
 
@@ -28,8 +34,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """MinHash near-dedup (five words, similarity 0.8): one document of each group stays."""
-    gone = minhash.link(docs).where("not kept").select(F.col("doc_id").alias("gone"))
-    return docs.join(gone, F.col("doc_id") == F.col("gone"), "left_anti")
+    return minhash.drop_near_copies(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,8 +43,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Byte-level BPE: ids and digests for each row of the mix."""
-    return bpe.encode_documents(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
+    """Byte-level BPE: ids and digests for each row of the mix; position is its place in the training order, rising with gaps."""
+    return bpe.encode_documents(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN, keep=(file_order().alias("position"),))
 
 
 STAGES = [("quality classifier", keep_good), ("exact dedup", drop_copies), ("MinHash near-dedup", drop_near_copies), ("mixing sources", mix_sources), ("byte-level BPE", encode)]
@@ -48,7 +53,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages over documents, each written as Parquet and read again by the next."""
+    """The stages over documents, each written as Parquet and read again by the next; a stage's folder goes when the next one's is written."""
     import uuid
 
     docs = table(spark, sf_dir, "documents")
@@ -58,4 +63,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         if k < len(STAGES) - 1:
             docs.write.parquet(f"{folder}/{k}")
             docs = spark.read.parquet(f"{folder}/{k}")
+            if k:
+                delete_folder(spark, f"{folder}/{k - 1}")
     return docs
