@@ -48,7 +48,7 @@ from .common import take_over, text_or_empty
 GROUP_CHARS = 1_500_000
 AWKWARD = re.compile(r" \s| $").search
 #: Bytes encoded by one recursive query, and words kept in each of two generations.
-BATCH_BYTES, KEPT_WORDS = 300_000, 300_000
+BATCH_BYTES, KEPT_WORDS = 300_000, 400_000
 #: Longer words are looked through for places to cut, and still longer ones forgotten after their batch.
 CUT_LENGTH, KEPT_LENGTH = 32, 1024
 #: Memory of a query, and what each byte of a batch beyond BATCH_BYTES adds to it.
@@ -216,8 +216,8 @@ class Encoder:
             if AWKWARD(text):
                 pieces.append(self.split(text))
             else:
-                first, *rest = text.split(" ")
-                pieces.append(([first] if first else []) + [" " + x for x in rest])
+                parts = text.replace(" ", "\0 ").split("\0") if "\0" not in text else re.split("(?= )", text)
+                pieces.append(parts if parts[0] else parts[1:])
         missing = self._missing(set().union(*pieces))
         several = {}
         for x in missing:
