@@ -13,15 +13,17 @@ SCHEMAS = {
     "images": f"doc_id string, page int, xref long, bbox {BOX}, width int, height int",
     "outline": "doc_id string, ord int, level int, title string, page int, dest_y double",
     "blocks": f"block_id string, doc_id string, page int, reading_order_index int, bbox {BOX}, text string, font_size double, font_name string, is_bold boolean, is_italic boolean, region string, looks_like string",
+    "deferred": "name string, observed_count bigint, generated_at timestamp",
     "metrics": "doc_id string, name string, value double, threshold double, passed boolean, counts map<string,bigint>, sample_failures array<string>",
 }
 # The vocabularies of the contract.
 REGIONS = ("header", "footer", "margin", "body")
 LOOKS = ("large_text", "small_text", "emphasis", "body", "unknown")
 LINK_KINDS = ("internal", "external")
-CHUNK_TYPES = ("heading", "paragraph", "list_item", "table", "diagram", "caption", "footnote", "glossary_entry")
+CHUNK_TYPES = ("section_heading", "paragraph", "table", "diagram", "appendix", "glossary_entry", "regulation_quote", "caption")
 ROTATIONS = (0, 90, 180, 270)
 TAGS = ("heading", "paragraph", "page_number", "running_header", "running_footer", "toc_entry", "glossary_entry", "noise", "other")
+HEADED, LINKED = ("section_heading", "appendix"), ("table", "diagram")
 
 
 def box(x0, y0, x1, y1) -> Column:

@@ -25,10 +25,17 @@ def groups(blocks: DataFrame, key: Column) -> DataFrame:
 
 
 def membership(blocks: DataFrame, key: Column) -> DataFrame:
-    """block_id, members: those of its group, or itself alone."""
-    g = groups(blocks, key).select(F.col("doc_id").alias("of_doc"), F.col("key").alias("of_key"), "members")
+    """block_id, doc_id, key, n: the key and size of its group, 1 for a block alone; the members stay in the table of groups."""
+    sizes = blocks.groupBy(F.col("doc_id").alias("of_doc"), key.alias("of_key")).agg(F.count("*").alias("n"))
     keyed = blocks.select("block_id", "doc_id", key.alias("key"))
-    return keyed.join(g, (F.col("doc_id") == F.col("of_doc")) & (F.col("key") == F.col("of_key")), "left").select("block_id", F.coalesce("members", F.array("block_id")).alias("members"))
+    return keyed.join(sizes, (F.col("doc_id") == F.col("of_doc")) & F.col("key").eqNullSafe(F.col("of_key"))).select("block_id", "doc_id", "key", "n")
+
+
+def members(chosen: DataFrame, blocks: DataFrame, key: Column) -> DataFrame:
+    """block_id, members: for each of chosen (block_id) the blocks of its group, or itself alone."""
+    mine = blocks.select("block_id", "doc_id", key.alias("key")).join(chosen.select("block_id").distinct(), "block_id", "left_semi")
+    g = groups(blocks, key).select(F.col("doc_id").alias("of_doc"), F.col("key").alias("of_key"), "members")
+    return mine.join(g, (F.col("doc_id") == F.col("of_doc")) & (F.col("key") == F.col("of_key")), "left").select("block_id", F.coalesce("members", F.array("block_id")).alias("members"))
 
 
 def samples(grouped: DataFrame, most: int = SAMPLE) -> DataFrame:

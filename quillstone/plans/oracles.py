@@ -31,7 +31,7 @@ hl as (select doc_id, page, i::int as link_index, case when u like '/%' then 'in
 """
 D = r"""
 ra as (select doc_id, 'doc' || doc_id || '.json' as path, text from documents where doc_id % 10 <> 0),
-rb as (select doc_id, 'doc' || doc_id || '.json' as path, case when doc_id % 3 = 0 then text || chr(10) || 'more' else text end as text from documents where doc_id % 7 <> 0)
+rb as (select doc_id, 'doc' || doc_id || '.json' as path, case doc_id % 3 when 0 then text || chr(10) || 'more' when 1 then regexp_replace(text, '\n', chr(10) || 'x') else text end as text from documents where doc_id % 7 <> 0)
 """
 RF = r"""
 rf as (
@@ -40,7 +40,7 @@ rf as (
     union all select doc_id, block_index, 'licence', unnest(regexp_extract_all(text, '(?i)licen[cs]e')) from e
     union all select doc_id, block_index, 'decimal', unnest(regexp_extract_all(text, '[0-9]+\.[0-9]+')) from e)
 """
-CHUNK_RE = "^[A-Za-z0-9._-]+-(heading|paragraph|list_item|table|diagram|caption|footnote|glossary_entry)-[A-Za-z0-9._-]+$"
+CHUNK_RE = "^[A-Za-z0-9._-]+-(section_heading|paragraph|table|diagram|appendix|glossary_entry|regulation_quote|caption)-[A-Za-z0-9._-]+$"
 RULED = "rl as (select block_id, coalesce(reading_order_index = 0, false) as suppressed, case when reading_order_index = 2 then 'noise' end as tag from b)"
 COVER = "(select doc_id, count(distinct page) as covered from e group by 1)"
 
@@ -56,17 +56,18 @@ ORACLES = {
     "hint_totals": f"with {T} select region, looks_like, count(*) as n from b group by all",
     "page_coverage": f"with {T} select doc_id, covered, total, covered / total as coverage from (select doc_id, count(*) as total from pg group by 1) join {COVER} using (doc_id)",
     "blocks_per_page": f"with {T} select doc_id, avg(n) as mean, min(n) as low, max(n) as high from (select doc_id, page, count(*) as n from e group by all) group by 1",
-    "links_by_kind": f"with {H}, a as (select doc_id, kind from hl union all select doc_id, 'external' from np) select doc_id, count(*) as total, count(*) filter (kind = 'internal') as internal, count(*) filter (kind = 'external') as external from a group by 1",
+    "links_by_kind": f"with {H}, a as (select doc_id, case when link_index % 5 = 4 then 'external' when link_index % 7 = 6 then 'strange' else kind end as kind from hl) select doc_id, count(*) as total, count(*) filter (kind = 'internal') as internal, count(*) filter (kind = 'external') as external from a group by 1",
     "parse_counters": f"with {T}, {H} select 'elements' as name, count(*) as n from e union all select 'pages', count(*) from pg union all select 'links', count(*) from hl",
-    "schema_conformance": f"""with {T}, f as (select *, reading_order_index % 17 = 5 as flat, reading_order_index % 23 = 7 as wrong from b),
-        w as (select *, block_id || case when wrong then 'x' else '' end || ' ' || concat_ws(',', case when flat then 'bbox_area' end, case when wrong then 'block_id' end) as why from f)
-        select doc_id, case when count(*) filter (flat or wrong) = 0 then 1.0 else 0.0 end::double as value, count(*) filter (flat or wrong) as failures,
-            coalesce(array_to_string((list(why order by page, reading_order_index) filter (flat or wrong))[:20], ';'), '') as samples from w group by 1""",
+    "schema_conformance": f"""with {T}, f as (select *, reading_order_index % 17 = 5 as flat, reading_order_index % 23 = 7 as wrong, reading_order_index % 29 = 3 as minus from b),
+        w as (select *, block_id || case when wrong then 'x' else '' end || ' ' || concat_ws(',', case when flat then 'bbox_area' end, case when wrong then 'block_id' end, case when minus then 'font_size' end) as why from f)
+        select doc_id, case when count(*) filter (flat or wrong or minus) = 0 then 1.0 else 0.0 end::double as value, count(*) filter (flat or wrong or minus) as failures,
+            coalesce(array_to_string((list(why order by page, reading_order_index) filter (flat or wrong or minus))[:20], ';'), '') as samples from w group by 1""",
     "page_and_link_faults": f"""with {T}, {H} select 'page' as what, 'rotation' as rule, count(*) as n from pg where page_number % 2 = 0 having count(*) > 0 union all select 'page', 'size', count(*) from pg where page_number % 3 = 0 having count(*) > 0
         union all select 'link', 'dest_page', count(*) from hl where link_index % 4 = 0 having count(*) > 0""",
     "text_groups": f"with {T} select doc_id, key, n, array_to_string(m, ',') as members from tg",
     "position_groups": f"with {T} select doc_id, key, n, array_to_string(m, ',') as members from pgr",
-    "block_group_membership": f"with {T} select g.block_id, coalesce(array_to_string(m, ','), g.block_id) as members from g left join tg on g.doc_id = tg.doc_id and g.tk = tg.key",
+    "block_group_membership": f"with {T} select block_id, tk as key, count(*) over (partition by doc_id, tk) as n from g",
+    "members_of_chosen": f"with {T} select g.block_id, coalesce(array_to_string(m, ','), g.block_id) as members from g left join tg on g.doc_id = tg.doc_id and g.tk = tg.key where reading_order_index = 0",
     "member_samples": f"with {T} select doc_id, key, array_to_string(m[:3], ',') as shown, greatest(n - 3, 0) as more from pgr",
     "block_summaries": f"with {T} select block_id, text[:200] as text, page, font_size, region from b",
     "page_nav": f"with {T} select doc_id, page_number, coalesce(n, 0) as n from pg left join (select doc_id, page as page_number, count(*) as n from e where page <> 2 group by all) using (doc_id, page_number)",
@@ -86,7 +87,7 @@ ORACLES = {
     "html_escape": """with x as (select doc_id, replace(replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), chr(39), '&#x27;') as t from documents) select doc_id, len(t)::int as n, md5(t) as digest from x""",
     "observed_features": f"with {H} select unnest(['chunking', 'reference_resolution', 'table_of_contents', 'glossary_extraction', 'diagram_blocks', 'table_blocks', 'docling_parser']) as feature, case when feature = 'diagram_blocks' then (select count(*) from he) end as observed",
     "run_diff_paths": f"with {D} select coalesce(ra.path, rb.path) as path, case when rb.path is null then 'only_a' when ra.path is null then 'only_b' when ra.text <> rb.text then 'changed' else 'same' end as status from ra full join rb on ra.path = rb.path",
-    "run_diff_lines": f"with {D} select ra.path, len(string_split(ra.text, chr(10)))::int + 1 as line from ra join rb on ra.path = rb.path where ra.text <> rb.text",
+    "run_diff_lines": f"with {D} select ra.path, case when ra.doc_id % 3 = 0 then len(string_split(ra.text, chr(10)))::int + 1 else 2 end as line from ra join rb on ra.path = rb.path where ra.text <> rb.text",
     "reading_order_violations": """with t as (select conv_id::varchar as doc_id, (case when conv_id % 5 = 1 and turn = 2 then 1 else turn end)::int as order_index from conversations), n as (select doc_id, count(*) as n from t group by 1)
         select doc_id, order_index, 'duplicate' as problem from t group by all having count(*) > 1
         union all select distinct doc_id, order_index, 'outside' from t join n using (doc_id) where order_index < 0 or order_index >= n
@@ -98,7 +99,7 @@ ORACLES = {
         p as (select *, case when conv_id % 7 = 0 then 'no_target' when not there then 'unknown_target' when conv_id % 4 = 0 then 'not_an_asset' when conv_id % 3 = 0 then 'one_way' end as problem from c)
         select conv_id::varchar as doc_id, conv_id || ':' || turn as chunk_id, problem from p where problem is not null""",
     "span_bounds_violations": f"with {T} select block_id as chunk_id, (len(text) + 1)::int as \"end\", len(text)::int as length from b where reading_order_index % 9 = 0",
-    "chunk_id_format": f"with {T}, i as (select doc_id || '-' || case looks_like when 'large_text' then 'heading' when 'emphasis' then 'shout' else 'paragraph' end || '-' || case when page = 2 then '§2' else page::varchar end as id from b) select regexp_matches(id, '{CHUNK_RE}') as ok, count(*) as n from i group by 1",
+    "chunk_id_format": f"with {T}, i as (select doc_id || '-' || case looks_like when 'large_text' then 'section_heading' when 'emphasis' then 'shout' else 'paragraph' end || '-' || case when page = 2 then '§2' else page::varchar end as id from b) select regexp_matches(id, '{CHUNK_RE}') as ok, count(*) as n from i group by 1",
     "toc_bounds": f"with {T} select * from sb",
     "section_range_scan": f"with {T} select sb.doc_id, sb.section, count(*) as n from se join sb on se.doc_id = sb.doc_id and order_index between first_order_index and last_order_index group by all",
     "monotonicity": f"""with {T}, m as (select doc_id, page, reading_order_index, y0 - case when reading_order_index % 5 = 4 then 100 else 0 end as y from b), w as (select doc_id, y, lag(y) over (partition by doc_id, page order by reading_order_index) as before from m)

@@ -106,9 +106,9 @@ def blocks_per_page(spark, sf_dir):
 
 @query
 def links_by_kind(spark, sf_dir):
-    p = read(spark, sf_dir, "pages")
-    more = adapters.numbered_pages(p).select("doc_id", F.lit("external").alias("kind"))
-    return metrics.links_by_kind(h_links(spark, sf_dir).select("doc_id", "kind").unionByName(more))
+    """With every fifth link of a page taken as external and every seventh as of an unknown kind."""
+    i = F.col("link_index")
+    return metrics.links_by_kind(h_links(spark, sf_dir).withColumn("kind", F.when(i % 5 == 4, "external").when(i % 7 == 6, "strange").otherwise(F.col("kind"))))
 
 
 @query
@@ -120,10 +120,10 @@ def parse_counters(spark, sf_dir):
 
 @query
 def schema_conformance(spark, sf_dir):
-    """With faults planted by block index: flat boxes, wrong ids, negative indices."""
+    """With faults planted by block index: flat boxes, wrong ids, negative sizes."""
     i = F.col("reading_order_index")
     b = F.col("bbox")
-    bad = t_blocks(spark, sf_dir).withColumn("bbox", F.when(i % 17 == 5, box(b["x0"], b["y1"], b["x1"], b["y1"])).otherwise(b)).withColumn("block_id", F.when(i % 23 == 7, F.concat("block_id", F.lit("x"))).otherwise(F.col("block_id")))
+    bad = t_blocks(spark, sf_dir).withColumn("bbox", F.when(i % 17 == 5, box(b["x0"], b["y1"], b["x1"], b["y1"])).otherwise(b)).withColumn("block_id", F.when(i % 23 == 7, F.concat("block_id", F.lit("x"))).otherwise(F.col("block_id"))).withColumn("font_size", F.when(i % 29 == 3, -1.0).otherwise(F.col("font_size")))
     return metrics.conformance(bad).select("doc_id", "value", "failures", F.array_join("samples", ";").alias("samples"))
 
 
@@ -153,7 +153,14 @@ def position_groups(spark, sf_dir):
 
 @query
 def block_group_membership(spark, sf_dir):
-    return joined(patterns.membership(t_blocks(spark, sf_dir), patterns.text_key()))
+    return patterns.membership(t_blocks(spark, sf_dir), patterns.text_key()).select("block_id", "key", "n")
+
+
+@query
+def members_of_chosen(spark, sf_dir):
+    """The groups of the blocks at the top of a page."""
+    b = t_blocks(spark, sf_dir)
+    return joined(patterns.members(b.where("reading_order_index = 0"), b, patterns.text_key()))
 
 
 @query
@@ -256,7 +263,7 @@ def observed_features(spark, sf_dir):
 
 def two_runs(spark, sf_dir):
     d = read(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("doc"), F.col("doc_id").cast("string"), F.lit(".json")).alias("path"), "text")
-    return d.where("doc_id % 10 <> 0"), d.where("doc_id % 7 <> 0").withColumn("text", F.when(F.col("doc_id") % 3 == 0, F.concat("text", F.lit("\nmore"))).otherwise(F.col("text")))
+    return d.where("doc_id % 10 <> 0"), d.where("doc_id % 7 <> 0").withColumn("text", F.when(F.col("doc_id") % 3 == 0, F.concat("text", F.lit("\nmore"))).when(F.col("doc_id") % 3 == 1, F.regexp_replace("text", r"^([^\n]*)\n", "$1\nx")).otherwise(F.col("text")))
 
 
 @query
@@ -324,7 +331,7 @@ def span_bounds_violations(spark, sf_dir):
 
 @query
 def chunk_id_format(spark, sf_dir):
-    kind = F.when(F.col("looks_like") == "large_text", "heading").when(F.col("looks_like") == "emphasis", "shout").otherwise("paragraph")
+    kind = F.when(F.col("looks_like") == "large_text", "section_heading").when(F.col("looks_like") == "emphasis", "shout").otherwise("paragraph")
     ids = t_blocks(spark, sf_dir).select(F.concat_ws("-", "doc_id", kind, F.when(F.col("page") == 2, F.lit("§2")).otherwise(F.col("page").cast("string"))).alias("id"))
     return ids.groupBy(scalar.chunk_id_ok(F.col("id"), CHUNK_TYPES).alias("ok")).agg(F.count("*").alias("n"))
 

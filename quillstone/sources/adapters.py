@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
@@ -9,8 +10,10 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import host
 from ..model import box
+from . import pdf
 
 SLOTS, WIDTH, HEIGHT = 40, 595.0, 842.0
+PART_PAGES = 4096
 BLOCK = r"(?s)<(?:title|h1|p|li|div|footer)(?:\s[^>]*)?>(.*?)</(?:title|h1|p|li|div|footer)>"
 
 
@@ -37,11 +40,17 @@ def text_pages(elements: DataFrame) -> DataFrame:
 def numbered_pages(pages: DataFrame) -> DataFrame:
     """doc_id (the URL's host), page, html, url.
 
-    Page numbers need a host's pages in order: they are ranked by page_id, on ids alone.
+    Page numbers need a host's pages in order of page_id, null first and repeated ones in the order of their texts.  A
+    hot host's pages are ranked in parts: a part is a range of identifiers of about PART_PAGES of all pages, and a page's
+    number is its place in the part and what the host has in the parts before.
     """
-    ids = pages.select("page_id", F.coalesce(host(F.col("url")), F.lit("")).alias("doc_id"))
-    ranked = ids.withColumn("page", F.row_number().over(Window.partitionBy("doc_id").orderBy("page_id")).cast("int"))
-    return pages.join(ranked, "page_id").select("doc_id", "page", "html", "url")
+    rows = pages.select(F.coalesce(host(F.col("url")), F.lit("")).alias("doc_id"), "page_id", "html", "url", F.floor(F.coalesce(F.col("page_id"), F.lit(-1)) / PART_PAGES).alias("part"))
+    before = Window.partitionBy("of_doc").orderBy("of_part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = rows.groupBy(F.col("doc_id").alias("of_doc"), F.col("part").alias("of_part")).agg(F.count("*").alias("n"))
+    starts = sums.select("of_doc", "of_part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    inside = F.row_number().over(Window.partitionBy("doc_id", "part").orderBy("page_id", "url", "html"))
+    placed = rows.withColumn("inside", inside).join(starts, (F.col("doc_id") == F.col("of_doc")) & (F.col("part") == F.col("of_part")))
+    return placed.select("doc_id", (F.col("start") + F.col("inside")).cast("int").alias("page"), "html", "url")
 
 
 def html_elements(pages: DataFrame) -> DataFrame:
@@ -56,7 +65,7 @@ def element_box(i: Column) -> Column:
 
 
 def html_links(pages: DataFrame) -> DataFrame:
-    """One link for each href; site-relative ones lead to pages of their host, by the digits of their path, others out.
+    """One link for each href; site-relative ones lead to pages 1 to 5 of their host, by their length, others out.
 
     Boxes are a little off the elements' grid, so that joins by overlap have hits and misses.
     """
@@ -70,36 +79,19 @@ def html_links(pages: DataFrame) -> DataFrame:
     )
 
 
-def pdf_elements(pages: DataFrame) -> DataFrame:
-    """Needs a PDF library; parsed files come in as binaryFile rows and go through mapInPandas."""
-    try:
-        import fitz
-    except ImportError as e:
-        raise RuntimeError("reading PDF needs a PDF library, which is not installed") from e
-
-    def parse(frames):
-        import pandas as pd
-
-        for frame in frames:
-            rows = []
-            for path, content in zip(frame["path"], frame["content"]):
-                for number, page in enumerate(fitz.open(stream=content, filetype="pdf"), 1):
-                    for k, b in enumerate(page.get_text("dict", sort=True)["blocks"]):
-                        spans = [s for line in b.get("lines", ()) for s in line["spans"]]
-                        text = " ".join(t for t in ("".join(s["text"] for s in line["spans"]).strip() for line in b.get("lines", ())) if t)
-                        if b["type"] == 0 and text:
-                            rows.append((path, number, k, dict(zip(("x0", "y0", "x1", "y1"), b["bbox"])), text, round(spans[0]["size"], 2), spans[0]["font"], bool(spans[0]["flags"] & 16), bool(spans[0]["flags"] & 2)))
-            yield pd.DataFrame(rows, columns=["doc_id", "page", "block_index", "bbox", "text", "font_size", "font_name", "is_bold", "is_italic"])
-
-    from ..model import SCHEMAS
-
-    return pages.mapInPandas(parse, SCHEMAS["elements"])
+def pdf_elements(files: DataFrame) -> DataFrame:
+    """Elements of files (path, content), each a document by its path."""
+    return pdf.tables(pdf.scan(files).withColumn("doc_id", F.col("path")))["elements"]
 
 
 READERS: dict[str, Callable[[DataFrame], DataFrame]] = {"text": text_elements, "html": html_elements, "pdf": pdf_elements}
 
 
 def reader(name: str, fallback: str | None = None) -> Callable[[DataFrame], DataFrame]:
-    if name not in READERS and fallback is None:
+    """The reader of that name; an unknown one gives way to fallback with a warning, or is an error."""
+    if name in READERS:
+        return READERS[name]
+    if fallback is None:
         raise ValueError(f"unknown reader {name}; known: {', '.join(sorted(READERS))}")
-    return READERS.get(name) or READERS[fallback]
+    warnings.warn(f"unknown reader {name}, {fallback} is used", stacklevel=2)
+    return READERS[fallback]

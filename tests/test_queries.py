@@ -3,8 +3,7 @@
 import duckdb
 import pytest
 
-from quillstone.plans.oracles import ORACLES
-from quillstone.plans.queries import QUERIES
+from quillstone.plans import ORACLES, QUERIES
 
 TABLES = ("documents", "pages", "benchmark", "conversations")
 
