@@ -9,7 +9,7 @@ can go on in another one; those few runs are compared in a second, small step.
 
 Defined results: null text counts as empty, so null and empty texts are one group; null identifiers
 come last in a group and a group that has only such keeps one row; of repeated rows (same identifier
-and text) one row stays; an empty table gives an empty result.  Columns other than the two named
+and text) one row stays; very long texts are compared whole; an empty table gives an empty result.  Columns other than the two named
 ones are never looked at, whatever their names.
 """
 
@@ -28,6 +28,8 @@ from pyspark.sql import types as T
 from .common import ascii_lower, bounded, cut, shuffle_partitions, take_over, text_or_empty
 
 PREFIX = 64
+#: Rows of a partition, about: a task keeps an identifier, a digest and a run number of each.
+PARTITION_ROWS = 100_000
 EDGE = "struct<n_runs:bigint,head:binary,tail:binary,n_head:bigint,n_tail:bigint,id_head:bigint,id_tail:bigint>"
 
 
@@ -66,6 +68,10 @@ class _Runs:
         }
 
 
+def _partitions(docs: DataFrame) -> int:
+    return max(shuffle_partitions(docs.sparkSession), -(-docs.count() // PARTITION_ROWS))
+
+
 def _sorted(docs: DataFrame, columns: list, id_col: str, text_col: str, keep: str, partitions: int) -> DataFrame:
     """columns plus __id and __norm, dealt by range and sorted; the keeper of a run comes first."""
     order = (lambda c: F.desc_nulls_last(c)) if keep == "max" else (lambda c: F.asc_nulls_last(c))
@@ -106,9 +112,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     keep: "min" or "max", which identifier of a group stays.
     """
-    spark = docs.sparkSession
-    n = partitions or shuffle_partitions(spark)
-    ordered = _sorted(docs, [], id_col, text_col, keep, n)
+    ordered = _sorted(docs, [], id_col, text_col, keep, partitions or _partitions(docs))
     ordered = ordered.select("__id", F.col("__norm").cast("binary").alias("__norm"), F.unhex(F.sha2(F.col("__norm").cast("binary"), 256)).alias("__sha"))
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,10 +156,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "min", partitions: int | None = None) -> DataFrame:
     """The rows of docs that stay, with docs' own columns; one row of each group of equal texts."""
-    spark = docs.sparkSession
-    n = partitions or shuffle_partitions(spark)
     row = F.struct(*[docs[c] for c in docs.columns]).alias("__row")
-    ordered = _sorted(docs, [row], id_col, text_col, keep, n).select("__row", "__id", F.col("__norm").cast("binary").alias("__norm"))
+    ordered = _sorted(docs, [row], id_col, text_col, keep, partitions or _partitions(docs)).select("__row", "__id", F.col("__norm").cast("binary").alias("__norm"))
     schema = T.StructType([
         T.StructField("__row", ordered.schema["__row"].dataType, True), T.StructField("__pid", T.IntegerType()), T.StructField("__run", T.LongType()),
         T.StructField("__edge", T._parse_datatype_string(EDGE)),

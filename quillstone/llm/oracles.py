@@ -80,9 +80,9 @@ r as (
     from p
 ),
 h as (
-    select host, count(bad) as n, coalesce(sum(bad), 0)::bigint as bad, regexp_extract(host, '([^.]*\.)?[^.]*$') as two,
+    select host, count(bad) as n, coalesce(sum(bad), 0)::bigint as bad, regexp_replace(host, '^.*@|:[0-9]*$', '', 'g') as name, regexp_extract(name, '([^.]*\.)?[^.]*$') as two,
         two in ('co.uk', 'org.uk', 'ac.uk', 'gov.uk', 'com.au', 'net.au', 'org.au', 'co.jp', 'or.jp', 'co.nz', 'com.br', 'co.in', 'com.cn', 'co.za', 'co.kr') as double,
-        case when double then two else regexp_extract(host, '[^.]*$') end as suffix, case when double then regexp_extract(host, '([^.]*\.)?([^.]*\.)?[^.]*$') else two end as domain
+        case when double then two else regexp_extract(name, '[^.]*$') end as suffix, case when double then regexp_extract(name, '([^.]*\.)?([^.]*\.)?[^.]*$') else two end as domain
     from r group by host
 ),
 whole as (select (sum(bad) + 0.5::double) / (sum(n) + 1) as mean, mean * (1 - mean) / (sum(n) + 2) as unsure from h),

@@ -8,7 +8,7 @@ prior, the prior's, so that hosts far from any label stay uncertain.  A page is
 lower bound of its host's posterior rate is above the threshold.
 
 Defined results: null URLs and those without "://" have empty host and path, fit no rule and belong
-to the host ""; ports and user names stay part of the host, as the host rule says; hosts without
+to the host ""; ports and user names stay part of the host, as the host rule says, but not of its domain and suffix; hosts without
 labels take their domain's, suffix's or the whole's estimate; labels that are null don't count, and
 repeated ones count each; repeated rows give repeated rows; without any label nothing is blocked by
 reputation; very long URLs are read whole; an empty table gives an empty result; other columns, whatever
@@ -54,12 +54,19 @@ def _verdict(rule: Column, rules: dict[str, str]) -> Column:
     return F.lit(None).cast("string") if out is None else out
 
 
+def _name(host: Column) -> Column:
+    """host without user name and port."""
+    return F.regexp_replace(host, r"^.*@|:[0-9]*$", "")
+
+
 def suffix_of(host: Column) -> Column:
+    host = _name(host)
     two, one = F.substring_index(host, ".", -2), F.substring_index(host, ".", -1)
     return F.when(two.isin(*TWO_LABELS), two).otherwise(one)
 
 
 def domain_of(host: Column) -> Column:
+    host = _name(host)
     return F.when(F.substring_index(host, ".", -2).isin(*TWO_LABELS), F.substring_index(host, ".", -3)).otherwise(F.substring_index(host, ".", -2))
 
 

@@ -160,6 +160,12 @@ def test_url_filter_of_repeated_rows_and_clashing_columns(spark, monkeypatch):
     assert sorted(map(str, url_filter.judge(pages).collect())) == rows
 
 
+def test_domains(spark):
+    hosts = ["a.b.example.com", "me@b.example.com:8080", "x.y.co.uk:80", "co.uk", "localhost", ""]
+    rows = spark.createDataFrame([(h,) for h in hosts], "host string").select(url_filter.domain_of(F.col("host")).alias("d"), url_filter.suffix_of(F.col("host")).alias("s")).collect()
+    assert [(r["d"], r["s"]) for r in rows] == [("example.com", "com"), ("example.com", "com"), ("y.co.uk", "co.uk"), ("co.uk", "co.uk"), ("localhost", "localhost"), ("", "")]
+
+
 def test_reputation_needs_evidence(spark):
     labels = spark.createDataFrame([("bad.org", 1)] * 40 + [("good.org", 0)] * 40 + [("one.com", 1)], "host string, bad int")
     pages = spark.createDataFrame([(k, f"http://{h}/") for k, h in enumerate(("bad.org", "good.org", "new.example"))], "page_id long, url string")
