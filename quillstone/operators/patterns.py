@@ -52,6 +52,18 @@ def apply_rules(blocks: DataFrame, rules: DataFrame) -> DataFrame:
     return blocks.select("block_id").join(last, "block_id", "left").select("block_id", F.coalesce("s", F.lit(False)).alias("suppressed"), "tag")
 
 
+def decision_counts(blocks: DataFrame, state: DataFrame) -> DataFrame:
+    """doc_id, suppressed, tagged: how many blocks of each document are."""
+    each = blocks.select("doc_id", "block_id").join(state, "block_id")
+    return each.groupBy("doc_id").agg(F.count_if("suppressed").alias("suppressed"), F.count("tag").alias("tagged"))
+
+
+def ids_by_tag(blocks: DataFrame, state: DataFrame) -> DataFrame:
+    """doc_id, tag, ids in the order of their names (p10 before p2)."""
+    each = blocks.select("doc_id", "block_id").join(state.where("tag is not null"), "block_id")
+    return each.groupBy("doc_id", "tag").agg(F.sort_array(F.collect_list("block_id")).alias("ids"))
+
+
 def group_state(grouped: DataFrame, state: DataFrame) -> DataFrame:
     """doc_id, key, all_suppressed, common_tag (null if members differ)."""
     each = grouped.select("doc_id", "key", "n", F.explode("members").alias("block_id")).join(state, "block_id")

@@ -75,6 +75,8 @@ ORACLES = {
         select page, case when y1 < h * 0.07::double then 'header' when y0 > h * (1::double - 0.07::double) then 'footer' when x0 < 595::double * 0.05::double then 'margin' else 'body' end as region, count(*) as n from h group by all""",
     "css_projection": f"with {T}, s as (select block_id, least(greatest(font_size, 11.0), 22.0)::double as px, greatest(0::double, (x0 / 595.0::double - 0.12::double) * 240.0::double) as indent from b) select block_id, px, case when indent > 2 then indent end as indent from s",
     "apply_rules": f"with {T}, {RULED} select * from rl",
+    "decision_counts": f"with {T}, {RULED} select doc_id, count(*) filter (suppressed) as suppressed, count(tag) as tagged from rl join b using (block_id) group by 1",
+    "ids_by_tag": f"with {T}, {RULED} select doc_id, tag, string_agg(block_id, ',' order by block_id) as ids from rl join b using (block_id) where tag is not null group by all",
     "group_state": f"with {T}, {RULED} select doc_id, key, bool_and(suppressed) as all_suppressed, case when count(distinct tag) = 1 and count(tag) = any_value(n) then min(tag) end as common_tag from (select doc_id, key, n, unnest(m) as block_id from pgr) join rl using (block_id) group by doc_id, key",
     "block_link_overlap": f"with {H} select e.doc_id || ':' || e.page || ':' || block_index as block_id, link_index, case when dest_page is not null then '↗p' || dest_page else left(uri, 40) end as label from he e join hl l on e.doc_id = l.doc_id and e.page = l.page and l.x0 < e.x1 and l.x1 > e.x0 and l.y0 < e.y1 and l.y1 > e.y0",
     "link_targets": f"with {H} select l.doc_id || ':' || l.page || ':' || link_index as point_id, e.doc_id || ':' || e.page || ':' || block_index as block_id from he e join hl l on e.doc_id = l.doc_id and e.page = l.page and (l.x0 + l.x1) / 2 between e.x0 and e.x1 and (l.y0 + l.y1) / 2 between e.y0 and e.y1",

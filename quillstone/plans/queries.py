@@ -195,10 +195,10 @@ def css_projection(spark, sf_dir):
 
 
 def planted_rules(blocks_: DataFrame) -> DataFrame:
-    """Blocks 0 of a page are suppressed, blocks 1 suppressed and released, block 2 tagged twice."""
+    """Blocks 0 of a page are suppressed, blocks 1 suppressed and released, block 2 tagged twice, block 3 tagged and untagged."""
     i = F.col("reading_order_index")
     rule = lambda n, on, action, tag, ord_: blocks_.where(i == n).select("block_id", F.lit(action).alias("action"), F.lit(on).alias("on"), F.lit(tag).alias("tag"), F.lit(ord_).alias("ord"))
-    return rule(0, True, "suppress", None, 1).unionByName(rule(1, True, "suppress", None, 1)).unionByName(rule(1, False, "suppress", None, 2)).unionByName(rule(2, None, "tag", "heading", 1)).unionByName(rule(2, None, "tag", "noise", 2))
+    return rule(0, True, "suppress", None, 1).unionByName(rule(1, True, "suppress", None, 1)).unionByName(rule(1, False, "suppress", None, 2)).unionByName(rule(2, None, "tag", "heading", 1)).unionByName(rule(2, None, "tag", "noise", 2)).unionByName(rule(3, None, "tag", "noise", 1)).unionByName(rule(3, None, "tag", None, 2))
 
 
 @query
@@ -207,6 +207,18 @@ def apply_rules(spark, sf_dir):
     return patterns.apply_rules(b, planted_rules(b))
 
 
+@query
+def decision_counts(spark, sf_dir):
+    b = t_blocks(spark, sf_dir)
+    return patterns.decision_counts(b, patterns.apply_rules(b, planted_rules(b)))
+
+
+@query
+def ids_by_tag(spark, sf_dir):
+    b = t_blocks(spark, sf_dir)
+    return joined(patterns.ids_by_tag(b, patterns.apply_rules(b, planted_rules(b))), "ids")
+
+
 @query
 def group_state(spark, sf_dir):
     b = t_blocks(spark, sf_dir)
