@@ -47,6 +47,8 @@ BANDS, ROWS = 32, 4
 PLACES, SEED = 1 << 20, 20_240_607
 #: Sets in a block, about.
 BLOCK = 128
+#: Right blocks of a centre that one task takes, at least.
+SHARE = 16
 #: Bits of a parity sketch.
 SKETCH_BITS = 1024
 #: Word hashes kept by a Python worker.
@@ -125,9 +127,9 @@ def _text_key(text_col: str) -> Column:
     return F.unhex(F.md5(text_or_empty(text_col).cast("binary")))
 
 
-def _measure(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """doc_id, n_shingles, class (digest of the set, null if empty), bands, sketch, text_key for every row."""
-    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"), _text_key(text_col).alias("text_key"))
+def _measure(docs: DataFrame, id_col: str, text_col: str, width: int, keyed: bool) -> DataFrame:
+    """doc_id, n_shingles, class (digest of the set, null if empty), bands, sketch, text_key (null unless keyed) for every row."""
+    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"), (_text_key(text_col) if keyed else F.lit(None).cast("binary")).alias("text_key"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         take_over("minhash", forget)
@@ -190,10 +192,10 @@ def _apart(held: DataFrame) -> DataFrame:
 def _faced(full: DataFrame, payload: list[str]) -> DataFrame:
     """left, right: blocks of about BLOCK rows of a centre, those outside its largest component against all.
 
-    A centre with many blocks is dealt to up to SALTS tasks: each takes a share of its right blocks, and all left ones.
+    A centre with many blocks is dealt to up to SALTS tasks: each takes a share of SHARE or more of its right blocks, and all left ones.
     """
     n_blocks = lambda n: F.ceil(n / F.lit(BLOCK))
-    shares = F.least(F.lit(SALTS), n_blocks(F.col("n"))).cast("int")
+    shares = F.least(F.lit(SALTS), F.ceil(n_blocks(F.col("n")) / F.lit(SHARE))).cast("int")
 
     def blocks(df: DataFrame, n) -> DataFrame:
         return df.groupBy("centre", shares.alias("shares"), F.pmod(F.xxhash64("class"), n_blocks(n)).alias("block")).agg(F.collect_list(F.struct("class", "comp", *payload)).alias("rows"))
@@ -273,9 +275,9 @@ def _between(stars: DataFrame, comps: DataFrame, sketches: DataFrame, sets, perc
     return _faced(full, ["found"]).mapInArrow(compare, "a binary, b binary")
 
 
-def _linked(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> DataFrame:
-    """doc_id, n_shingles, text_key, class, group (a class of the component; null for empty sets), component for every row of docs."""
-    rows = cut(_measure(docs, id_col, text_col, width))
+def _linked(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int, keyed: bool = False) -> DataFrame:
+    """doc_id, n_shingles, text_key (null unless keyed), class, group (a class of the component; null for empty sets), component for every row of docs."""
+    rows = cut(_measure(docs, id_col, text_col, width, keyed))
     members = rows.where("class is not null")
     classes = members.groupBy("class").agg(F.min("doc_id").alias("least"), F.first("bands").alias("bands"), F.first("n_shingles").alias("size"), F.first("sketch").alias("sketch"))
     buckets = classes.select("class", "least", F.posexplode("bands").alias("band", "key"))
@@ -319,9 +321,11 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     Of a component the smallest identifier stays (null is the largest), and of texts with that identifier the one with
     the smallest digest.  Rows equal in identifier and text are one document: they stay or go together.
     """
-    linked = cut(_linked(docs, id_col, text_col, width, percent).where("group is not null").select("doc_id", "text_key", "group"))
+    linked = _linked(docs, id_col, text_col, width, percent, keyed=True).where("group is not null").select("doc_id", "text_key", "group")
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
     first = linked.groupBy("group").agg(F.min(place).alias("first"), F.count("*").alias("n"))
-    first = first.where("n > 1").select(F.col("group").alias("of_group"), "first")
-    gone = linked.join(first, F.col("group") == F.col("of_group")).where(place != F.col("first")).select(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_key")).distinct()
+    first = bounded(cut(first.where("n > 1").select(F.col("group").alias("of_group"), "first.*").withColumnsRenamed({"none": "of_none", "doc_id": "of_id", "text_key": "of_key"})))
+    other = ~(F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("text_key") == F.col("of_key")))
+    gone = linked.join(first, F.col("group") == F.col("of_group")).where(other).select(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_key")).distinct()
+    gone = bounded(cut(gone))
     return docs.join(gone, F.col(id_col).cast("long").eqNullSafe(F.col("gone_id")) & (_text_key(text_col) == F.col("gone_key")), "left_anti")
