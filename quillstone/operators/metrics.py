@@ -62,11 +62,27 @@ def page_navigation(blocks: DataFrame, pages: DataFrame) -> DataFrame:
     return pages.select("doc_id", "page_number").join(have, ["doc_id", "page_number"], "left").select("doc_id", "page_number", F.coalesce("n", F.lit(0)).alias("n"))
 
 
+def _faults(checks: dict, what: int, page: Column, index: Column, name: Column) -> tuple[Column, Column]:
+    """How many rows of a group break a rule, and the first SAMPLES of them (what, page, index, why)."""
+    broken = failures(checks)
+    bad = F.size(broken) > 0
+    told = F.struct(F.lit(what).alias("what"), page.alias("page"), index.cast("int").alias("index"), F.concat_ws(" ", name, F.array_join(broken, ",")).alias("why"))
+    return F.count_if(bad), _first(F.collect_list(F.when(bad, told)))
+
+
+def _first(faults: Column) -> Column:
+    return F.slice(F.array_sort(faults), 1, SAMPLES)
+
+
 def _tallies(blocks: DataFrame) -> DataFrame:
-    """doc_id, covered, n, mean, low, high, and a count for each region and look, in one pass over blocks."""
+    """doc_id, covered, n, mean, low, high, a count for each region and look, bad, faults, in one pass over blocks; a page gives SAMPLES faults at most."""
     each = {f"region_{v}": F.col("region") == v for v in REGIONS} | {f"look_{v}": F.col("looks_like") == v for v in LOOKS}
-    by_page = blocks.groupBy("doc_id", "page").agg(F.count("*").alias("n"), *[F.count_if(is_one).alias(name) for name, is_one in each.items()])
-    return by_page.groupBy("doc_id").agg(F.count("page").alias("covered"), F.sum("n").alias("n"), F.avg("n").alias("mean"), F.min("n").alias("low"), F.max("n").alias("high"), *[F.sum(name).alias(name) for name in each])
+    bad, faults = _faults(block_checks(), 2, F.col("page"), F.col("reading_order_index"), F.col("block_id"))
+    by_page = blocks.groupBy("doc_id", "page").agg(F.count("*").alias("n"), bad.alias("bad"), faults.alias("faults"), *[F.count_if(is_one).alias(name) for name, is_one in each.items()])
+    return by_page.groupBy("doc_id").agg(
+        F.count("page").alias("covered"), F.sum("n").alias("n"), F.avg("n").alias("mean"), F.min("n").alias("low"), F.max("n").alias("high"), F.sum("bad").alias("bad"),
+        _first(F.flatten(F.collect_list("faults"))).alias("faults"), *[F.sum(name).alias(name) for name in each],
+    )
 
 
 def report(blocks: DataFrame, pages: DataFrame, links: DataFrame, documents: DataFrame | None = None, deferred: DataFrame | None = None) -> DataFrame:
@@ -74,14 +90,24 @@ def report(blocks: DataFrame, pages: DataFrame, links: DataFrame, documents: Dat
 
     Each of documents (doc_id, once each) has all six, with zeros where it has no rows; without documents, a
     metric has rows for the documents of its own tables only.  Maps of regions and looks hold the vocabulary's values that
-    occur.  Tallies of a document come side by side and are then dealt into rows.
+    occur.  Each table is read once; tallies of a document come side by side and are then dealt into rows.
     """
-    wide = pages.groupBy("doc_id").agg(F.count("*").alias("total"))
-    others = [_tallies(blocks), links_by_kind(links).withColumnRenamed("total", "n_links"), conformance(blocks, pages, deferred, documents).withColumnRenamed("value", "conforms")]
+    none, no_int = F.expr("cast(array() as array<struct<what:int,page:int,index:int,why:string>>)"), F.lit(None).cast("int")
+    bad_pages, page_faults = _faults(page_checks(), 0, F.col("page_number"), no_int, F.concat_ws(":p", "doc_id", "page_number"))
+    wide = pages.groupBy("doc_id").agg(F.count("*").alias("total"), bad_pages.alias("bad_pages"), page_faults.alias("page_faults"))
     if documents is not None:
         wide = documents.select("doc_id").join(wide, "doc_id", "left")
-    for df in others:
+    for df in (_tallies(blocks), links_by_kind(links).withColumnRenamed("total", "n_links")):
         wide = wide.join(df, "doc_id", "full_outer" if documents is None else "left")
+    bad_names, name_faults = F.lit(0), none
+    if deferred is not None:
+        bad, faults = _faults(deferred_checks(), 1, no_int, no_int, F.col("name"))
+        wide = wide.crossJoin(F.broadcast(deferred.agg(bad.alias("bad_names"), faults.alias("name_faults"))))  # one row
+        bad_names, name_faults = F.col("bad_names"), F.col("name_faults")
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0))
+    wide = wide.withColumn("failures", zero("bad") + zero("bad_pages") + bad_names)
+    wide = wide.withColumn("samples", F.transform(_first(F.concat(F.coalesce("page_faults", none), name_faults, F.coalesce("faults", none))), lambda x: x["why"]))
+    wide = wide.withColumn("conforms", F.when(F.col("failures") == 0, 1.0).otherwise(0.0)).withColumn("checked", F.coalesce("total", "n"))
     longs = lambda **cs: F.map_from_arrays(F.array(*map(F.lit, cs)), F.array(*[F.coalesce(c.cast("long"), F.lit(0).cast("long")) for c in cs.values()]))
     nothing = F.expr("cast(map() as map<string,bigint>)")
     given = lambda column, counts: F.when(F.col(column).isNull(), nothing).otherwise(counts)
@@ -92,15 +118,15 @@ def report(blocks: DataFrame, pages: DataFrame, links: DataFrame, documents: Dat
         "blocks_by_region": ("n", F.col("n"), given("n", seen("region", REGIONS))),
         "blocks_by_looks_like": ("n", F.col("n"), given("n", seen("look", LOOKS))),
         "links_by_kind": ("n_links", F.col("n_links"), longs(**{k: F.col(k) for k in LINK_KINDS})),
-        "schema_conformance": ("failures", F.col("conforms"), longs(failures=F.col("failures"))),
+        "schema_conformance": ("checked", F.col("conforms"), longs(failures=F.col("failures"))),
     }
-    none = F.expr("cast(array() as array<string>)")
+    untold = F.expr("cast(array() as array<string>)")
 
     def row(name: str, has: str, value: Column, counts: Column) -> Column:
         strict = name == "schema_conformance"
         made = F.struct(
             F.lit(name).alias("name"), F.coalesce(value.cast("double"), F.lit(0.0)).alias("value"), F.lit(1.0 if strict else None).cast("double").alias("threshold"),
-            (F.col("conforms") == 1.0 if strict else F.lit(True)).alias("passed"), counts.alias("counts"), (F.coalesce("samples", none) if strict else none).alias("sample_failures"),
+            (F.col("conforms") == 1.0 if strict else F.lit(True)).alias("passed"), counts.alias("counts"), (F.col("samples") if strict else untold).alias("sample_failures"),
         )
         return made if documents is not None else F.when(F.col(has).isNotNull(), made)
 
