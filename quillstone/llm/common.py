@@ -77,6 +77,16 @@ def shared_folder(spark: SparkSession) -> str:
     return sc._jsc.sc().getCheckpointDir().get()
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Has Spark remove the shuffle files and broadcasts that nothing refers to any more.
+
+    Spark learns of these when the driver's memory is collected, which may be long after the work that needed them; until then the
+    files of one job lie on the executors' disks beside the next one's.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
