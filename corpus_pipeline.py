@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillstone.llm import bpe, exact_dedup, minhash, mixing, quality_model
-from quillstone.llm.common import delete_folder, file_order, shared_folder, table
+from quillstone.llm.common import delete_folder, file_order, free_shuffles, shared_folder, table
 from quillstone.llm.queries import VOCABULARY, held_out
 
 
@@ -29,21 +29,25 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Exact dedup: of equal texts the smallest doc_id stays."""
+    free_shuffles(spark)
     return exact_dedup.drop_exact_copies(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """MinHash near-dedup (five words, similarity 0.8): one document of each group stays."""
+    free_shuffles(spark)
     return minhash.drop_near_copies(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Mixing to target weights: documents as often as the mix takes them, in training order."""
+    free_shuffles(spark)
     return mixing.training_order(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Byte-level BPE: ids and digests for each row of the mix; position is its place in the training order, rising with gaps."""
+    free_shuffles(spark)
     return bpe.encode_documents(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN, keep=(file_order().alias("position"),))
 
 
