@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import ctypes
 import gc
 import tempfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -109,6 +110,18 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+@contextlib.contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Work that is run inside hands rows to Python so many at a time, where each row is large."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def few(df: DataFrame) -> bool:
     """Whether df's counted rows and bytes are within the limits of a broadcast.  Callers pass cut() frames, so the count is cheap."""
     held = [F.octet_length(f.name) for f in df.schema if isinstance(f.dataType, (T.StringType, T.BinaryType))]

@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SALTS, bounded, cut, take_over, text_or_empty
+from .common import SALTS, arrow_rows, bounded, cut, take_over, text_or_empty
 from .components import components
 
 BANDS, ROWS = 32, 4
@@ -49,6 +49,8 @@ PLACES, SEED = 1 << 20, 20_240_607
 BLOCK = 128
 #: Right blocks of a centre that one task takes, at least.
 SHARE = 16
+#: Pairs of blocks that go to Python at a time; each holds two blocks of sets.
+PAIR_ROWS = 32
 #: Bits of a parity sketch.
 SKETCH_BITS = 1024
 #: Word hashes kept by a Python worker.
@@ -241,7 +243,8 @@ def _between(stars: DataFrame, comps: DataFrame, sketches: DataFrame, sets, perc
     held = cut(held)
     named = sketches.withColumnRenamed("class", "of_class")
     hopeful = _hopeful(_apart(held).join(named, F.col("class") == F.col("of_class")).drop("of_class"), percent)
-    held = cut(held.join(hopeful, ["centre", "class"]))
+    with arrow_rows(sketches.sparkSession, PAIR_ROWS):
+        held = cut(held.join(hopeful, ["centre", "class"]))
     found = sets(held.select("class").distinct()).withColumnRenamed("class", "of_class")
     full = cut(_apart(held).join(found, F.col("class") == F.col("of_class")).drop("of_class"))
 
@@ -272,7 +275,8 @@ def _between(stars: DataFrame, comps: DataFrame, sketches: DataFrame, sets, perc
                             a.append(name), b.append(names[j])
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
 
-    return _faced(full, ["found"]).mapInArrow(compare, "a binary, b binary")
+    with arrow_rows(sketches.sparkSession, PAIR_ROWS):
+        return cut(_faced(full, ["found"]).mapInArrow(compare, "a binary, b binary"))
 
 
 def _linked(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int, keyed: bool = False) -> DataFrame:
@@ -297,7 +301,7 @@ def _linked(docs: DataFrame, id_col: str, text_col: str, width: int, percent: in
     pairs = cut(_possible(stars, sketches, percent))
     links = cut(_confirm(pairs, sets(pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()), percent))
     comps = components(links)
-    more = cut(_between(stars, comps, sketches, sets, percent))
+    more = _between(stars, comps, sketches, sets, percent)
     if more.take(1):
         comps = components(links.unionByName(more))
     of_class = classes.select("class", "least")
